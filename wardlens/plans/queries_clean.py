@@ -15,7 +15,8 @@ from .registry import matrix_a, register
 
 def cleaned(spark, sf, policy="keep"):
     """The cleaned table later stages read, written once."""
-    return materialize(cleaning.clean(matrix_a(spark, sf), policy), f"cleaned_{policy}", sf)
+    build = lambda: cleaning.clean(matrix_a(spark, sf), policy)
+    return materialize(spark, f"cleaned_{policy}", sf, build)
 
 
 def _with_copies(matrix):

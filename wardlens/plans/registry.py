@@ -34,10 +34,18 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
+_TABLES: dict[tuple[str, str], ClinicalTables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> ClinicalTables:
-    return from_driver_tables(spark, sf_dir)
+    """The clinical views over one data folder; lazy, so only the plans are kept."""
+    slot = (spark.sparkContext.applicationId, sf_dir)
+    if slot not in _TABLES:
+        _TABLES[slot] = from_driver_tables(spark, sf_dir)
+    return _TABLES[slot]
 
 
 def matrix_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The materialized feature matrix every later stage reads."""
-    return materialize(extract.feature_matrix_a(tables(spark, sf_dir)), "feature_matrix_a", sf_dir)
+    build = lambda: extract.feature_matrix_a(tables(spark, sf_dir))
+    return materialize(spark, "feature_matrix_a", sf_dir, build)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -41,13 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def materialize(df: DataFrame, name: str, key: str = "") -> DataFrame:
-    """Write ``df`` once per application under ``name``/``key`` and return the table."""
-    spark = df.sparkSession
+def materialize(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``name``/``key``, built and written on first use in the application."""
     app = spark.sparkContext.applicationId
     slot = (app, f"{name}|{key}")
     if slot in _TABLES:
         return _TABLES[slot]
+    df = build()
     folder = shared_folder(spark)
     if folder is None:
         table = df.persist(StorageLevel.MEMORY_AND_DISK)
