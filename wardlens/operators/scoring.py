@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,11 +83,23 @@ def feature_title(name: Column) -> Column:
     return F.initcap(F.regexp_replace(name, "_", " "))
 
 
+def percent_text(share: Column) -> Column:
+    """A share as a percentage with one decimal.
+
+    Rounds the exact binary value of ``100 * share``, as C and Python print it.  The
+    JVM formatter rounds the shortest decimal text instead and turns 20.95 (really
+    20.9499...) into 21.0.
+    """
+    whole = 2**56
+    exact = (share * 100.0 * float(whole)).cast("bigint").cast("decimal(20,0)") * 10
+    tenths = F.bround(exact / F.lit(Decimal(whole)), 0)
+    return F.format_string("%.1f%%", tenths.cast("double") / 10.0)
+
+
 def interpretation(score: Column, feature: Column, direction: Column) -> Column:
     """One sentence naming the main driver of a score."""
-    percent = F.format_string("%.1f%%", score * 100)
     return F.concat(
-        F.lit("This patient's predicted risk of "), percent, F.lit(" is primarily driven by '"),
+        F.lit("This patient's predicted risk of "), percent_text(score), F.lit(" is primarily driven by '"),
         feature, F.lit("' which "), direction, F.lit("."),
     )
 
