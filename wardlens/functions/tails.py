@@ -8,6 +8,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def normal_two_sided(z: float) -> float:
@@ -33,12 +34,12 @@ def chi_square_tail(x: float, df: int) -> float:
     return total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided, na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail(a, int(b)) for a, b in zip(x, df)], dtype="float64")
 

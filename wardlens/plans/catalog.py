@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_clean, queries_extract, queries_score  # noqa: F401
+from . import queries_clean, queries_extract, queries_models, queries_score  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
