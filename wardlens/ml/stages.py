@@ -7,7 +7,7 @@ number or two per column and applies them as plain column expressions.
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions import clip
 from ..operators.features import derived_columns, with_base_columns, with_defaults
-from ..operators.ordered import long_values, quantile_name, quantile_table, value_counts
+from ..operators.ordered import (
+    long_values,
+    quantile_name,
+    quantile_table,
+    quantiles_of_totals,
+    running_totals,
+    value_counts,
+)
 
 MODEL_COLUMNS = [*fv.BASE_FEATURES, *fv.DERIVED_FEATURES]
 
@@ -223,6 +230,62 @@ class YeoJohnsonScaler(_ColumnEstimator):
         )
 
 
+def fit_robust_chain(dataset: DataFrame, columns: list[str]) -> list[Model]:
+    """Median imputer, percentile clipper and robust scaler from one sorted pass.
+
+    Gives the same numbers as fitting the three stages one after the other.  Each
+    stage is monotone per column, so the order statistics it would see follow from
+    those of the raw column: imputing inserts the missing count at the median, and
+    clipping moves only the ends.
+    """
+    n_all = dataset.count()
+    counts = value_counts(long_values(dataset, columns), "value", ["feature"])
+    totals = running_totals(counts, "value", ["n"], ["feature"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        medians = quantiles_of_totals(totals, [50], "linear", ["feature"]).collect()
+        median = {r["feature"]: float(r["q50"]) for r in medians}
+        missing = {r["feature"]: n_all - r["n"] for r in medians}
+        if set(median) != set(columns):
+            raise ValueError(f"no values to fit on: {sorted(set(columns) - set(median))}")
+
+        def of_feature(values: dict) -> Column:
+            return F.create_map(*[x for c, v in values.items() for x in (F.lit(c), F.lit(v))])[F.col("feature")]
+
+        low, high = fv.CLIP_PERCENT
+        places = {p: (n_all - 1) * (p / 100.0) for p in (low, 25, 50, 75, high)}
+        spots = sorted({min(int(h) + up, n_all - 1) for h in places.values() for up in (0, 1)})
+        known = totals.withColumn("_m", of_feature(median)).withColumn("_gap", of_feature(missing))
+        value, cum = F.col("value"), F.col("cum_n")
+        rows = known.groupBy("feature").agg(
+            F.coalesce(F.sum(F.when(value < F.col("_m"), F.col("n"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(value <= F.col("_m"), F.col("n"))), F.lit(0)).alias("up_to"),
+            *[F.min(F.when(cum > r, value)).alias(f"at_{r}") for r in spots],
+            *[F.min(F.when(cum > F.lit(r) - F.col("_gap"), value)).alias(f"shifted_{r}") for r in spots],
+        ).collect()
+    finally:
+        totals.unpersist()
+
+    fitted = {}
+    for row in rows:
+        m, gap = median[row["feature"]], missing[row["feature"]]
+
+        def statistic(r: int) -> float:
+            if r < row["below"]:
+                return row[f"at_{r}"]
+            return m if r < row["up_to"] + gap else row[f"shifted_{r}"]
+
+        def between(p: float, shape=lambda v: v) -> float:
+            h = places[p]
+            a, b = shape(statistic(int(h))), shape(statistic(min(int(h) + 1, n_all - 1)))
+            return a + (b - a) * (h - int(h))
+
+        floor, top = between(low), between(high)
+        q1, q2, q3 = (between(p, lambda v: max(min(v, top), floor)) for p in (25, 50, 75))
+        fitted[row["feature"]] = (m, floor, top, q2, (q3 - q1) or 1.0)
+    fill, floors, tops, centres, scales = zip(*[fitted[c] for c in columns])
+    return [FillModel.of(columns, fill), ClipModel.of(columns, floors, tops), ShiftScaleModel.of(columns, centres, scales)]
+
+
 def build_preprocessing(
     columns: list[str] | None = None,
     scaler: str = "robust",

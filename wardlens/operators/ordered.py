@@ -134,6 +134,16 @@ def _averaged_steps(percent: float) -> Column:
     return F.when(whole, (low + high) / 2.0).otherwise(high)
 
 
+def quantiles_of_totals(totals: DataFrame, percents: list[float], method: str, by: list[str]) -> DataFrame:
+    """n and ``q<percent>`` columns per group of ``running_totals`` over ``value``."""
+    rules = {"linear": _linear, "averaged": _averaged_steps}
+    if method not in rules:
+        raise ValueError(f"unknown quantile method: {method!r}")
+    return totals.groupBy(*by).agg(
+        F.max("total_n").alias("n"), *[rules[method](p).alias(quantile_name(p)) for p in percents]
+    )
+
+
 def quantile_table(
     df: DataFrame, columns: list[str], percents: list[float], method: str = "linear", by: list[str] = ()
 ) -> DataFrame:
@@ -141,15 +151,9 @@ def quantile_table(
 
     All columns share one pass.  ``method`` is ``linear`` or ``averaged``.
     """
-    rules = {"linear": _linear, "averaged": _averaged_steps}
-    if method not in rules:
-        raise ValueError(f"unknown quantile method: {method!r}")
     group = [*by, "feature"]
     counts = value_counts(long_values(df, columns, by), "value", group)
-    totals = running_totals(counts, "value", ["n"], group)
-    return totals.groupBy(*group).agg(
-        F.max("total_n").alias("n"), *[rules[method](p).alias(quantile_name(p)) for p in percents]
-    )
+    return quantiles_of_totals(running_totals(counts, "value", ["n"], group), percents, method, group)
 
 
 def as_lookup(table: DataFrame, key: str = "feature") -> Column:

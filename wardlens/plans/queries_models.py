@@ -13,6 +13,7 @@ from ..functions.tails import chi_square_p, normal_two_sided_p, stars
 from ..ml import attribution, inference, models
 from ..ml import stages as st
 from ..operators import explain, metrics, summaries
+from ..operators.sampling import stratified_split
 from ..sources import readers, sinks
 from ..sources.materialize import materialize, shared_folder
 from ..streaming.scoring import score_stream, scored_records
@@ -217,11 +218,19 @@ def logit_calibration(spark, sf):
 
 
 # --- models -------------------------------------------------------------------------------------------
+def _split(spark, sf):
+    """Train and test rows, the split written once."""
+    build = lambda: stratified_split(matrix_a(spark, sf), IDS)
+    marked = materialize(spark, "split", sf, build)
+    return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
+
+
 def _model(spark, sf, name: str) -> models.FittedModel:
     def fit():
-        train, test = models.split(matrix_a(spark, sf), IDS)
+        train, test = _split(spark, sf)
+        prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
         config = models.model_configs(QUERY_TREES)[name]
-        return models.train_models(train, test, {name: config})[name]
+        return models.train_models(train, test, {name: config}, prep=prep)[name]
 
     return _once(spark, sf, f"model:{name}", fit)
 
@@ -264,7 +273,7 @@ def model_comparison(spark, sf):
 
 def _cv_table(spark, sf):
     def build():
-        train, _ = models.split(matrix_a(spark, sf), IDS)
+        train, _ = _split(spark, sf)
         configs = models.model_configs(QUERY_TREES)
         kept = {k: configs[k] for k in ["logistic_regression", "random_forest"]}
         return models.cross_validate(train, IDS, kept, folds=3)
@@ -285,7 +294,7 @@ def cv_summary(spark, sf):
 def _evaluation(spark, sf):
     def build():
         fitted = _model(spark, sf, "logistic_regression")
-        _, test = models.split(matrix_a(spark, sf), IDS)
+        _, test = _split(spark, sf)
         return jobs.evaluate_job(fitted.pipeline, _info(fitted), test, importance_repeats=0)
 
     return _once(spark, sf, "evaluation", build)
@@ -344,7 +353,7 @@ def stream_scores(spark, sf):
 # --- attribution ------------------------------------------------------------------------------------------
 def _test_vectors(spark, sf):
     fitted = _model(spark, sf, "logistic_regression")
-    _, test = models.split(matrix_a(spark, sf), IDS)
+    _, test = _split(spark, sf)
     prep = PipelineModel(stages=fitted.pipeline.stages[:-1])
     build = lambda: prep.transform(test).select(*IDS, fv.LABEL, *st.MODEL_COLUMNS, models.VECTOR)
     return fitted.pipeline.stages[-1], materialize(spark, "test_vectors", sf, build)
