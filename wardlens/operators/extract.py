@@ -277,7 +277,8 @@ def medications_by_admission_a(t: ClinicalTables) -> DataFrame:
 
 def medications_a(t: ClinicalTables, cohort: DataFrame) -> DataFrame:
     """Distinct counts do not change when rows repeat, so a semi join is enough."""
-    return medications_by_admission_a(t).join(cohort.select("hadm_id"), "hadm_id", "left_semi")
+    kept = key_counts(cohort, "hadm_id").select("hadm_id")
+    return medications_by_admission_a(t).join(kept, "hadm_id", "left_semi")
 
 
 def medications_b(t: ClinicalTables) -> DataFrame:

@@ -30,6 +30,7 @@ def salted_join(
 
     Rows of hot keys are spread over ``salts`` partitions and the one-side row of a
     hot key is repeated once per salt; all other keys carry salt 0 and join as usual.
+    Rows without a key match nothing and are spread too.
     ``counts`` may pass the key counts when the caller has them already.
     """
     hot_rows = hot_rows or HOT_ROWS
@@ -39,7 +40,7 @@ def salted_join(
     spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
     left = (
         many.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
         .drop("_hot")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

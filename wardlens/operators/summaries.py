@@ -5,7 +5,6 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -94,9 +93,10 @@ def data_summary(df: DataFrame, features: list[str] | None = None) -> DataFrame:
 
 
 def frequency(df: DataFrame, column: str) -> DataFrame:
-    """Count and percent per value; the total is a window over the few counts."""
+    """Count and percent per value; the total is one number, not a window."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    return counts.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(W.partitionBy(F.lit(0))))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("percent", 100.0 * F.col("n") / total)
 
 
 def cross_table(df: DataFrame, rows: str, columns: str, values: list) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..operators import cleaning, features, sampling, summaries
+from ..operators import cleaning, extract, features, sampling, summaries
 from ..operators.ordered import quantile_table
 from ..sources.materialize import materialize
 from .oracle_ctes import averaged_quantile, describe_sql, linear_quantile, long_sql, r6, with_ctes
@@ -152,7 +152,21 @@ def dataset_info(spark, sf):
     return summaries.dataset_info(matrix_a(spark, sf))
 
 
-@register("schema_listing")
+_TYPES = {"age": "double", "length_of_stay": "double", "polypharmacy_score": "double", "admittime": "timestamp_ntz",
+          "icu_intime": "timestamp_ntz", "diagnosis": "string", **dict.fromkeys(extract.MATRIX_A_DIGITS, "double")}
+_MATRIX_COLUMNS = [
+    *fv.ID_COLUMNS, "age", "gender", "length_of_stay", *extract.MATRIX_A_DIGITS, *extract.MATRIX_A_ZEROS,
+    "polypharmacy_score", "adverse_event", "hospital_expire_flag", "icu_readmission", "has_sepsis", "critical_labs",
+    "admittime", "icu_intime", "diagnosis",
+]
+
+
+@register(
+    "schema_listing",
+    with_ctes(" union all ".join(
+        f"""select cast({i} as bigint) "position", '{c}' variable, '{_TYPES.get(c, 'bigint')}' "type", count(*) - count({c}) n_miss from matrix_a"""
+        for i, c in enumerate(_MATRIX_COLUMNS, 1))),
+)
 def schema_listing(spark, sf):
     return summaries.schema_listing(matrix_a(spark, sf))
 
@@ -251,6 +265,13 @@ def hist_clipped(spark, sf):
     return rounded(summaries.histogram(display_clips(matrix_a(spark, sf)), ["drug_count"], 20, ["adverse_event"]))
 
 
+@register("hist_creatinine_clipped", _hist_oracle(["creatinine_max"], "clipped", 30, "adverse_event", extra=_CLIPPED))
+def hist_creatinine_clipped(spark, sf):
+    from ..operators.scoring import display_clips
+
+    return rounded(summaries.histogram(display_clips(matrix_a(spark, sf)), ["creatinine_max"], 30, ["adverse_event"]))
+
+
 _PAIRS = [(a, b) for i, a in enumerate([*fv.BASE_FEATURES, fv.LABEL]) for b in [*fv.BASE_FEATURES, fv.LABEL][i + 1 :]]
 
 
