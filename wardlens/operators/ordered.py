@@ -44,7 +44,7 @@ def running_totals(
     and range and are broadcast.
     """
     by = list(by)
-    ranges = ranges or default_ranges(counts)
+    ranges = max(2, ranges or default_ranges(counts))
     probs = [(i + 1) / ranges for i in range(ranges - 1)]
     edges = F.percentile_approx(key, probs, SKETCH_ACCURACY).alias("_edges")
     if by:

@@ -90,10 +90,19 @@ def percent_text(share: Column) -> Column:
     JVM formatter rounds the shortest decimal text instead and turns 20.95 (really
     20.9499...) into 21.0.
     """
-    whole = 2**56
-    exact = (share * 100.0 * float(whole)).cast("bigint").cast("decimal(20,0)") * 10
-    tenths = F.bround(exact / F.lit(Decimal(whole)), 0)
-    return F.format_string("%.1f%%", tenths.cast("double") / 10.0)
+    percent = share * 100.0
+
+    def tenths(bits: int) -> Column:
+        whole = F.lit(Decimal(2**bits))
+        units = (percent * float(2**bits)).cast("bigint").cast("decimal(20,0)") * 10
+        rest = units % whole
+        down = ((units - rest) / whole).cast("bigint")
+        up = (rest * 2 > whole) | ((rest * 2 == whole) & (down % 2 == 1))
+        return down + F.when(up, 1).otherwise(0)
+
+    # small values have finer binary digits; both scales stay below 2^63
+    rounded = F.when(percent < 1, tenths(62)).otherwise(tenths(56))
+    return F.format_string("%.1f%%", rounded.cast("double") / 10.0)
 
 
 def interpretation(score: Column, feature: Column, direction: Column) -> Column:
