@@ -253,7 +253,7 @@ def hist_by_label(spark, sf):
 
 
 _CLIPPED = {
-    "clipped": """select adverse_event, greatest(least(creatinine_max, 10e0), 0e0) creatinine_max,
+    "clipped": """select adverse_event, case when creatinine_max is not null then greatest(least(creatinine_max, 10e0), 0e0) end creatinine_max,
     greatest(least(cast(drug_count as double), 30e0), 0e0) drug_count from matrix_a"""
 }
 
