@@ -4,13 +4,19 @@ go through a vectorised helper; nothing here ever sees data rows."""
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+# ship these helpers to the workers themselves, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
