@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -15,7 +14,7 @@ from ..ml import stages as st
 from ..operators import explain, metrics, summaries
 from ..operators.sampling import stratified_split
 from ..sources import readers, sinks
-from ..sources.materialize import materialize, shared_folder
+from ..sources.materialize import data_version, fresh_folder, materialize
 from ..streaming.scoring import score_stream, scored_records
 from . import jobs
 from .fixed_score import with_fixed_score
@@ -33,19 +32,12 @@ _KEPT: dict[tuple, object] = {}
 
 def _once(spark, sf: str, name: str, build: Callable):
     """Fit a model once per application and data folder."""
-    slot = (spark.sparkContext.applicationId, sf, name)
+    slot = (spark.sparkContext.applicationId, sf, data_version(spark, sf), name)
     if slot not in _KEPT:
         _KEPT[slot] = build()
     return _KEPT[slot]
 
 
-def _fresh_folder(spark, name: str) -> str:
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # --- sources and sinks ------------------------------------------------------------------
 _MODEL_TABLE = "select icustay_id, " + ", ".join(f"cast({c} as double) {c}" for c in [*fv.BASE_FEATURES, fv.LABEL]) + " from matrix_a"
 
@@ -53,7 +45,7 @@ _MODEL_TABLE = "select icustay_id, " + ", ".join(f"cast({c} as double) {c}" for
 @register("csv_round_trip", with_ctes(_MODEL_TABLE))
 def csv_round_trip(spark, sf):
     """Export ordered by stay id with a header, read back with an explicit schema."""
-    path = _fresh_folder(spark, "csv")
+    path = fresh_folder(spark, "csv")
     matrix = matrix_a(spark, sf).select("icustay_id", *fv.BASE_FEATURES, fv.LABEL)
     sinks.write_csv(matrix, path, order_by=["icustay_id"])
     schema = ", ".join(f"{c} string" for c in [*fv.BASE_FEATURES, fv.LABEL])
@@ -314,7 +306,7 @@ def evaluation_report(spark, sf):
 def saved_model_scores(spark, sf):
     """Save the pipeline and its metadata, load both, score with the loaded copy."""
     fitted = _model(spark, sf, "logistic_regression")
-    folder = _fresh_folder(spark, "model")
+    folder = fresh_folder(spark, "model")
     models.save_model(spark, fitted, folder)
     pipeline, info = models.load_model(spark, folder)
     records = jobs.score_job(pipeline, info, matrix_a(spark, sf))["records"]
@@ -340,7 +332,7 @@ def batch_scoring_summary(spark, sf):
 def stream_scores(spark, sf):
     """The whole matrix as a file stream, scored until all available input is done."""
     fitted = _model(spark, sf, "logistic_regression")
-    folder = _fresh_folder(spark, "stream")
+    folder = fresh_folder(spark, "stream")
     matrix = matrix_a(spark, sf).select(*IDS, *_BASE)
     matrix.write.parquet(f"{folder}/in")
     source = spark.readStream.schema(matrix.schema).parquet(f"{folder}/in")

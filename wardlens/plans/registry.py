@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import extract
 from ..session import tune
 from ..sources.clinical import ClinicalTables, from_driver_tables
-from ..sources.materialize import materialize
+from ..sources.materialize import data_version, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,12 +34,12 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
-_TABLES: dict[tuple[str, str], ClinicalTables] = {}
+_TABLES: dict[tuple[str, str, str], ClinicalTables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> ClinicalTables:
     """The clinical views over one data folder; lazy, so only the plans are kept."""
-    slot = (spark.sparkContext.applicationId, sf_dir)
+    slot = (spark.sparkContext.applicationId, sf_dir, data_version(spark, sf_dir))
     if slot not in _TABLES:
         _TABLES[slot] = from_driver_tables(spark, sf_dir)
     return _TABLES[slot]

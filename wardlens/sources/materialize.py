@@ -3,59 +3,68 @@
 A stage that many later jobs read (cohort, feature matrix, model vectors) is
 written as a table.  Later jobs scan it with column pruning and pushed filters, and
 a lost executor costs a re-read of files, not a re-run of the stages before it.
+
+One storage rule holds in every mode: the folder in ``spark.checkpoint.dir``, and
+where that is unset the session's warehouse.  Both are shared by all executors.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-_LOCAL_FOLDERS: dict[str, str] = {}
-
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset a local-mode session gets a folder of its own; a cluster
-    session gets None, because a machine-local folder is not visible to executors.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; intermediate tables go below it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="wardlens-")
-    return _LOCAL_FOLDERS[app]
+        return named.rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative ML fits a place to cut their lineage."""
-    folder = shared_folder(spark)
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-
-
-def materialize(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name``/``key``, built and written on first use in the application."""
-    app = spark.sparkContext.applicationId
-    slot = (app, f"{name}|{key}")
-    if slot in _TABLES:
-        return _TABLES[slot]
-    df = build()
-    folder = shared_folder(spark)
-    if folder is None:
-        table = df.persist(StorageLevel.MEMORY_AND_DISK)
-    else:
-        digest = hashlib.md5(key.encode()).hexdigest()[:12]
-        path = f"{folder.rstrip('/')}/{app}/{name}-{digest}"
-        df.write.mode("overwrite").parquet(path)
-        table = spark.read.parquet(path)
-    _TABLES[slot] = table
-    return table
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh table and read back, which cuts its lineage."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def data_version(spark: SparkSession, folder: str) -> str:
+    """A digest of names, sizes and times of the files in a data folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen, todo = [], [path]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if status.isDirectory():
+                todo.append(status.getPath())
+            seen.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()[:12]
+
+
+def materialize(spark: SparkSession, name: str, folder: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``name`` made from the data in ``folder``, built on first use.
+
+    It is built anew when the files in ``folder`` change.
+    """
+    slot = (spark.sparkContext.applicationId, f"{name}|{folder}", data_version(spark, folder))
+    if slot not in _TABLES:
+        _TABLES[slot] = written(build(), name)
+    return _TABLES[slot]
