@@ -14,8 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from wardlens.session import local_session
 
-    session = local_session(8, memory="6g", app="tests")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session(8, memory="6g", app="tests", shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -23,10 +23,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, memory: str = "8g", app: str = "wardlens") -> SparkSession:
+def local_session(
+    cores: int | str = 8, memory: str = "8g", app: str = "wardlens", shared: str | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks.
 
     On a cluster the session comes from ``spark-submit``; only ``tune`` applies there.
+    ``shared`` is the folder for intermediate tables, by default the warehouse.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,4 +40,6 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "wardlens
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.files.maxPartitionBytes", "64m")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return tune(builder.getOrCreate())
