@@ -15,6 +15,8 @@ are matched once and handed back by a join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -57,7 +59,7 @@ def _bitmap(shingles: DataFrame) -> np.ndarray:
     wanted = 64 * max(1024, shingles.count())
     size = min(1 << (wanted - 1).bit_length(), MAX_BITMAP_BITS)
     place = F.xxhash64("shingle").bitwiseAND(F.lit(size - 1))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(shingle), 64L) as int))")
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(shingle), 64L) as int))")
     words = shingles.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bitmap = np.zeros(size // 64, np.uint64)
     bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
@@ -117,6 +119,23 @@ def _covered(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), zero, lambda a, h: add(a, h).cast("struct<end:int,total:bigint>"))["total"]
 
 
+def _postings(split: DataFrame, size: int, window_words: int) -> DataFrame:
+    """(words, n_rows, at, shingle, from, around): the shingles of every text ``w``.
+
+    A posting carries the few words around it that any window through it can have.
+    """
+    reach = window_words - size
+
+    def posting(i: Column) -> Column:
+        first = F.greatest(i - reach, F.lit(0))
+        around = F.slice("w", first + 1, i - first + window_words)
+        shingle = F.array_join(F.slice("w", i + 1, size), " ")
+        return F.struct(i.alias("at"), shingle.alias("shingle"), first.alias("from"), around.alias("around"))
+
+    starts = F.sequence(F.lit(0), F.size("w") - size)
+    return split.filter(F.size("w") >= size).select("words", "n_rows", F.inline(F.transform(starts, posting)))
+
+
 def match_windows(texts: DataFrame, windows: DataFrame, shingle_words: int, window_words: int, sizes: list[int]) -> DataFrame:
     """(words, n_hit, items): what occurs in each text of ``texts`` (words, n_rows).
 
@@ -127,21 +146,7 @@ def match_windows(texts: DataFrame, windows: DataFrame, shingle_words: int, wind
     tokens = by_window.select("window", F.size("window").alias("n"), F.inline(_shingles(F.col("window"), size)))
 
     split = texts.select("words", "n_rows", F.split("words", " ").alias("w"))
-    postings = None
-    for k in sizes:
-        # a posting carries the few words around it that any window through it can have
-        reach = window_words - min(k, window_words)
-        first = lambda i: F.greatest(i - reach, F.lit(0))
-        make = lambda i, k=k: F.struct(
-            i.alias("at"),
-            F.array_join(F.slice("w", i + 1, k), " ").alias("shingle"),
-            first(i).alias("from"),
-            F.slice("w", first(i) + 1, i - first(i) + window_words).alias("around"),
-        )
-        starts = F.sequence(F.lit(0), F.size("w") - k)
-        one = split.filter(F.size("w") >= k).select("words", "n_rows", F.inline(F.transform(starts, make)))
-        postings = one if postings is None else postings.unionByName(one)
-    postings = written(postings, "postings")
+    postings = written(reduce(DataFrame.unionByName, [_postings(split, k, window_words) for k in sizes or [shingle_words]]), "postings")
 
     counts = postings.groupBy("shingle").agg(F.sum("n_rows").alias("n_found"))
     ranked = tokens.join(counts, "shingle", "left").withColumn("n_found", F.coalesce("n_found", F.lit(0)))
