@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, simhash
+from . import bpe, chat, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_counts
 from .common import documents, small_batches
 
+VOCABULARY = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -35,6 +37,14 @@ def op1(spark, sf_dir):
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+@register("op2_chat_rotation", chat.oracle())
+def op2(spark, sf_dir):
+    """Every conversation from every participant's side, masks as text."""
+    found = chat.rotate_perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return found.withColumn("mask", mask)
+
+
 @register("op3_simhash_dedup")
 def op3(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
@@ -55,6 +65,34 @@ def op4(spark, sf_dir):
     )
 
 
+@register("op5_license_scan", licenses.oracle())
+def op5(spark, sf_dir):
+    """Known licence sentences and matched licences of every document."""
+    found = licenses.scan_licenses(documents(spark, sf_dir))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("sentence_ids", "licenses")})
+
+
+@register("op6_sharding")
+def op6(spark, sf_dir):
+    """Shard and slot of every document; counts are at most one apart."""
+    found = sharding.shard_documents(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@register("op7_token_counts")
+def op7(spark, sf_dir):
+    """Token counts of every document."""
+    small_batches(spark)
+    docs = documents(spark, sf_dir).select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        token_counts.token_count("text", public_tokenizers.path(VOCABULARY)).alias("n_tokens"),
+    )
+    return docs.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 @register("op8_line_dedup")
 def op8(spark, sf_dir):
     """Lines of every document that repeat elsewhere, and what stays."""
@@ -66,5 +104,11 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     """Token ids and decoded text of every document, as digests."""
     small_batches(spark)
-    docs = documents(spark, sf_dir).select("doc_id", bpe.digest_column("text", public_tokenizers.path("word_bpe_49k.json")).alias("t"))
+    docs = documents(spark, sf_dir).select("doc_id", bpe.digest_column("text", public_tokenizers.path(VOCABULARY)).alias("t"))
     return docs.select("doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256")
+
+
+@register("op10_pq_dedup")
+def op10(spark, sf_dir):
+    """Links and near-duplicate component of every embedding."""
+    return pq_dedup.cosine_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
