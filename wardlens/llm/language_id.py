@@ -28,12 +28,12 @@ PROFILE_SIZE = 400
 SAMPLE_PER_LANGUAGE = 4000
 CHUNK_CHARS = 1 << 20  # long texts are counted in pieces of this many characters
 UNKNOWN = "und"
-_GAP = 0  # code of everything that is no letter
+_GAP = 1  # code of everything that is no letter; not 0, so that n-grams of all orders differ
 
 
 @cache
 def _letters() -> np.ndarray:
-    """Code point -> code point of its lower-case letter, or 0 where it is no letter."""
+    """Code point -> code point of its lower-case letter, or the gap where it is no letter."""
     chars = map(chr, range(0x110000))
     return np.fromiter((ord(c.lower()[0]) if c.isalpha() else _GAP for c in chars), np.int64, 0x110000)
 
@@ -57,22 +57,15 @@ def _grams(codes: np.ndarray, order: int) -> np.ndarray:
 def count_grams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a UTF-8 text and how often each occurs.
 
-    An n-gram of 2 or 3 may start or end in the gap beside a word.  Numbers of different
-    orders do not collide: the order is kept in the sign and the lowest bits.
+    An n-gram of 2 or 3 may start or end in the gap beside a word.
     """
-    points = np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+    points = np.frombuffer(f"\n{text.decode()}\n".encode("utf-32-le"), np.uint32)
     letters = _letters()
     parts: list[tuple[np.ndarray, np.ndarray]] = []
-    for start in range(0, max(1, len(points)), CHUNK_CHARS):
-        # two characters of overlap complete the n-grams at a cut, one gap closes each end
-        piece = letters[points[start : start + CHUNK_CHARS + 2]]
-        last = start + CHUNK_CHARS >= len(points)
-        head, tail = ([_GAP] if start == 0 else []), ([_GAP] if last else [])
-        codes = np.concatenate([head, piece, tail]).astype(np.int64)
-        for order in ORDERS:
-            whole = codes if last else codes[: CHUNK_CHARS + len(head) + order - 1]
-            grams, counts = np.unique(_grams(whole, order), return_counts=True)
-            parts.append((grams if order > 1 else -grams, counts))
+    for start in range(0, len(points), CHUNK_CHARS):
+        codes = letters[points[start : start + CHUNK_CHARS + max(ORDERS) - 1]]
+        for order in ORDERS:  # those that start in this chunk
+            parts.append(np.unique(_grams(codes[: CHUNK_CHARS + order - 1], order), return_counts=True))
     grams = np.concatenate([p[0] for p in parts])
     counts = np.concatenate([p[1] for p in parts])
     distinct, place = np.unique(grams, return_inverse=True)
