@@ -176,7 +176,6 @@ CLIP_PERCENT = (0.5, 99.5)
 # --- risk categories and messages ------------------------------------------------------
 RISK_CUTS = [(0.20, "Low"), (0.40, "Moderate"), (0.65, "High")]
 RISK_TOP = "Critical"
-RISK_CATEGORIES = ["Low", "Moderate", "High", "Critical"]
 RISK_MESSAGES = {
     "Low": "Low adverse event risk. Continue standard ICU monitoring protocols.",
     "Moderate": "Moderate risk. Increase monitoring frequency; review medication list.",

@@ -21,6 +21,11 @@ def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
+def doubled_upper_tail(z: float) -> float:
+    """Twice the tail above z; 1 where a continuity correction has made z negative."""
+    return min(1.0, math.erfc(z / math.sqrt(2.0)))
+
+
 def chi_square_tail(x: float, df: int) -> float:
     """P(X > x) for a whole number of degrees of freedom, by the finite series."""
     if x <= 0:
@@ -41,8 +46,8 @@ def chi_square_tail(x: float, df: int) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def normal_two_sided_p(z: pd.Series) -> pd.Series:
-    return z.map(normal_two_sided, na_action="ignore")
+def doubled_upper_tail_p(z: pd.Series) -> pd.Series:
+    return z.map(doubled_upper_tail, na_action="ignore")
 
 
 @F.pandas_udf(DoubleType())

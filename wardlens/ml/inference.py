@@ -104,6 +104,8 @@ def stepwise_logit(
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
     rows = rows.na.drop().persist(StorageLevel.MEMORY_AND_DISK)
     rate = rows.agg(F.avg(label)).first()[0]
+    if rate is None or not 0 < rate < 1:
+        raise ValueError(f"a logistic fit needs complete rows of both classes; the event rate is {rate}")
     chosen: list[str] = []
     model, beta, intercept = None, [], math.log(rate / (1 - rate))
     history: list[tuple] = []

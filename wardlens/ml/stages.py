@@ -115,6 +115,9 @@ class _ColumnEstimator(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         row = dataset.agg(
             *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
         ).first()
+        empty = [c for c in columns if row[f"m_{c}"] is None]
+        if empty:
+            raise ValueError(f"no values to fit on: {empty}")
         return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in columns}
 
 

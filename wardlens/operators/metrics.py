@@ -95,7 +95,7 @@ def roc_points(totals: DataFrame, score: str = "score") -> DataFrame:
         ratio(_flagged() - _hits(), _total_neg()).alias("fpr"),
     )
     zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
-    origin = totals.agg(F.count("*").alias("_")).select(
+    origin = totals.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
         zero.alias("tp"), zero.alias("fp"), none.alias("tpr"), none.alias("fpr"),
     )
@@ -109,7 +109,7 @@ def pr_points(totals: DataFrame, score: str = "score") -> DataFrame:
         ratio(_hits(), _flagged()).alias("precision"),
         ratio(_hits(), F.col("total_pos")).alias("recall"),
     )
-    last = totals.agg(F.count("*").alias("_")).select(
+    last = totals.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),
@@ -198,8 +198,9 @@ def class_report(counts: DataFrame) -> DataFrame:
 
 # --- calibration ------------------------------------------------------------------------------
 def calibration_by_quantile(df: DataFrame, score: str = "score", label: str = LABEL, bins: int = 10) -> DataFrame:
-    """Mean score and observed rate per quantile bin; empty bins do not appear."""
+    """Mean score and observed rate of labelled rows per quantile bin; empty bins do not appear."""
     inner = [100.0 * i / bins for i in range(1, bins)]
+    df = df.filter(F.col(label).isNotNull())
     edges = quantile_table(df, [score], inner).agg(F.first(F.array(*[quantile_name(p) for p in inner])))
     counts = value_counts(df, score, (), {"pos": F.col(label).cast("bigint")}).withColumn("_edges", edges.scalar())
     binned = counts.withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(score))).cast("bigint"))
@@ -211,8 +212,8 @@ def calibration_by_quantile(df: DataFrame, score: str = "score", label: str = LA
 
 
 def decile_counts(df: DataFrame, score: str = "score", label: str = LABEL, groups: int = 10) -> DataFrame:
-    """(prob_decile, n, pos, score_sum) by rank group, ties together."""
-    ranked = average_ranks(df, score, (), {"pos": F.col(label).cast("bigint")})
+    """(prob_decile, n, pos, score_sum) of labelled rows by rank group, ties together."""
+    ranked = average_ranks(df.filter(F.col(label).isNotNull()), score, (), {"pos": F.col(label).cast("bigint")})
     return (
         ranked.withColumn("prob_decile", rank_group(groups))
         .groupBy("prob_decile")
@@ -233,9 +234,12 @@ def calibration_by_decile(df: DataFrame, score: str = "score", label: str = LABE
 
 
 def hosmer_lemeshow(df: DataFrame, score: str = "score", label: str = LABEL, groups: int = 10) -> DataFrame:
-    """Chi-square of observed against expected events over rank groups, and its df."""
+    """Chi-square of observed against expected events over rank groups, and its df.
+
+    A group whose expected events are none or all of its rows adds nothing.
+    """
     expected, n = F.col("score_sum"), F.col("n")
-    term = (F.col("pos") - expected) ** 2 / (expected * (1 - expected / n))
+    term = F.try_divide((F.col("pos") - expected) ** 2, expected * (1 - expected / n))
     return decile_counts(df, score, label, groups).agg(
         F.count("*").alias("n_groups"),
         F.sum(term).alias("chi_square"),

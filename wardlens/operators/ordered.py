@@ -13,12 +13,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 2000
+from .skew import null_safe_join
+
+SKETCH_PER_RANGE = 20  # the sketch may misplace an edge by a 20th of a range
 
 
 def default_ranges(df: DataFrame) -> int:
-    """One range per shuffle partition, within sane limits."""
-    return max(4, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """One range per shuffle partition."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def edges_below(edges: Column, value: Column, ranges: int) -> Column:
+    """How many of the sorted ``edges`` lie below a value, by binary search."""
+    widths = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, ranges.bit_length())))])
+
+    def step(low: Column, width: Column) -> Column:
+        at = low + width
+        return F.when((at <= F.size(edges)) & (F.get(edges, at - 1) < value), at).otherwise(low)
+
+    return F.aggregate(widths, F.lit(0), step)
 
 
 def value_counts(df: DataFrame, value: str, by: list[str] = (), sums: dict[str, Column] | None = None) -> DataFrame:
@@ -39,21 +52,18 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<s>`` (up to and including ``key``) and ``total_<s>`` for each sum.
 
-    ``counts`` has one row per (by, key).  ``by`` names things such as feature, fold
-    or label, of which there are few; edge and offset tables hold one row per group
-    and range and are broadcast.
+    ``counts`` has one row per (by, key).  Null is a group of its own.  Edge and offset
+    tables hold one row per group and range; how they are joined is left to their size.
     """
     by = list(by)
     ranges = max(2, ranges or default_ranges(counts))
     probs = [(i + 1) / ranges for i in range(ranges - 1)]
-    edges = F.percentile_approx(key, probs, SKETCH_ACCURACY).alias("_edges")
+    edges = F.percentile_approx(key, probs, SKETCH_PER_RANGE * ranges).alias("_edges")
     if by:
-        edged = counts.join(F.broadcast(counts.groupBy(*by).agg(edges)), by)
+        edged = null_safe_join(counts, counts.groupBy(*by).agg(edges), by)
     else:
         edged = counts.withColumn("_edges", counts.agg(edges).scalar())
-    ranged = edged.withColumn(
-        "_range", F.size(F.filter("_edges", lambda e: e < F.col(key)))
-    ).drop("_edges")
+    ranged = edged.withColumn("_range", edges_below(F.col("_edges"), F.col(key), ranges)).drop("_edges")
 
     per_range = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
@@ -66,7 +76,7 @@ def running_totals(
     )
     inside = W.partitionBy(*by, "_range").orderBy(key).rowsBetween(W.unboundedPreceding, 0)
     return (
-        ranged.join(F.broadcast(offsets), [*by, "_range"])
+        null_safe_join(ranged, offsets, [*by, "_range"])
         .withColumns({f"cum_{s}": F.col(f"_below_{s}") + F.sum(s).over(inside) for s in sums})
         .drop("_range", *[f"_below_{s}" for s in sums])
     )

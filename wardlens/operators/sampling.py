@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import LABEL
 from ..functions import row_hash
+from .skew import null_safe_join
 
-HASH_CHARS = 3  # 16^3 ranges of the hash, even by construction
+
+
+def hash_chars(df: DataFrame) -> int:
+    """Leading hex digits of the hash that cut it into a few ranges per shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 + (partitions.bit_length() + 3) // 4
 
 
 def shuffled_numbers(
@@ -19,11 +25,11 @@ def shuffled_numbers(
 
     The hash order depends on the ids only.  Rows are numbered inside ranges of the
     hash and shifted by the totals of the lower ranges, so a group of any size is
-    spread over all partitions.
+    spread over all partitions.  Rows with a null in ``by`` are a group like any other.
     """
     by = list(by)
     hashed = df.withColumn("_hash", row_hash(seed, *[F.col(c) for c in ids]))
-    hashed = hashed.withColumn("_range", F.substring("_hash", 1, HASH_CHARS))
+    hashed = hashed.withColumn("_range", F.substring("_hash", 1, hash_chars(df)))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     below = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     per_range = hashed.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
@@ -35,7 +41,7 @@ def shuffled_numbers(
     )
     inside = W.partitionBy(*by, "_range").orderBy("_hash", *ids)
     return (
-        hashed.join(F.broadcast(offsets), [*by, "_range"])
+        null_safe_join(hashed, offsets, [*by, "_range"])
         .withColumn(name, F.col("_below") + F.row_number().over(inside))
         .drop("_hash", "_range", "_below")
     )

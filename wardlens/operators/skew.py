@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot from this many rows on.  At most |many| / HOT_ROWS keys can be hot,
@@ -11,6 +13,15 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which a null key meets a null key; the keys appear once."""
+    if not keys:
+        raise ValueError("a join needs keys")
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def key_counts(many: DataFrame, key: str, count: str = "n_rows") -> DataFrame:
     """Rows per key.  Partial counts form before the shuffle, so a hot key is cheap."""
     return many.groupBy(key).agg(F.count("*").alias(count))

@@ -11,6 +11,7 @@ from .. import fixed_values as fv
 from ..functions.bands import age_interval
 from .metrics import ratio
 from .ordered import average_ranks, long_values, quantile_table
+from .skew import null_safe_join
 
 _STATS = ["n_miss", "n", "mean", "std", "min", "max"]
 
@@ -138,18 +139,21 @@ def histogram(
     """Count and density per (by, feature, bin), empty bins included.
 
     Bin edges span the minimum to maximum of each group, or of all rows together
-    with ``common_range``.  Values collapse to counts before they meet the edges.
+    with ``common_range``; a range of one value is widened by 0.5 on either side.
+    Values collapse to counts before they meet the edges.  Null is a group of its own.
     """
     by = list(by)
     group = [*by, "feature"]
     long = long_values(df, columns, by)
     counts = long.groupBy(*group, "value").agg(F.count("*").alias("_n"))
     span = ["feature"] if common_range else group
-    limits = counts.groupBy(*span).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    low, high = F.min("value"), F.max("value")
+    half = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
+    limits = counts.groupBy(*span).agg((low - half).alias("low"), (high + half).alias("high"))
     totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    ranges = totals.join(limits, span)
+    ranges = null_safe_join(totals, limits, span)
     binned = (
-        counts.join(F.broadcast(limits), span)
+        null_safe_join(counts, limits, span)
         .withColumn("bin", _bin_index(F.col("value"), F.col("low"), F.col("high"), bins))
         .groupBy(*group, "bin")
         .agg(F.sum("_n").alias("n"))
@@ -157,7 +161,7 @@ def histogram(
     every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
     width = (F.col("high") - F.col("low")) / bins
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
-    return every.join(binned, [*group, "bin"], "left").select(
+    return null_safe_join(every, binned, [*group, "bin"], "left").select(
         *group,
         "bin",
         (F.col("low") + F.col("bin") * width).alias("bin_from"),

@@ -230,7 +230,8 @@ def hist_sql(columns, source: str, bins: int, by: str, common: bool = False) ->
     span = "feature" if common else f"feature, {by}"
     return f"""
 with_vals as ({long_sql(columns, source, by)}),
-lims as (select {span}, min(value) low, max(value) high from with_vals group by {span}),
+lims as (select {span}, min(value) - case when min(value) = max(value) then 0.5e0 else 0 end low,
+  max(value) + case when min(value) = max(value) then 0.5e0 else 0 end high from with_vals group by {span}),
 tots as (select feature, {by}, count(*) total from with_vals group by feature, {by}),
 bins as (select feature, {by}, low, high, total, bin from tots join lims using ({span}), (select unnest(range({bins})) bin)),
 counted as (select feature, {by}, least(cast(floor((value - low) / nullif(high - low, 0) * {bins}) as bigint), {bins - 1}) bin, count(*) n

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.tails import chi_square_p, normal_two_sided_p, stars
+from ..functions.tails import chi_square_p, doubled_upper_tail_p, stars
 from ..ml import attribution, inference, models
 from ..ml import stages as st
 from ..operators import explain, metrics, summaries
@@ -169,8 +169,10 @@ def preprocessing_chain(spark, sf):
 # --- tests with p-values ------------------------------------------------------------------------
 @register("mann_whitney_p")
 def mann_whitney_p(spark, sf):
+    """The rank test with its p-value, which is 1 where all values are tied."""
     table = summaries.mann_whitney(matrix_a(spark, sf))
-    return table.withColumn("p", normal_two_sided_p("z")).withColumn("significance", stars(F.col("p")))
+    p = F.when(F.col("z").isNull() & (F.least("n_no_event", "n_event") > 0), F.lit(1.0)).otherwise(doubled_upper_tail_p("z"))
+    return table.withColumn("p", p).withColumn("significance", stars(F.col("p")))
 
 
 @register("hosmer_lemeshow_p")
@@ -302,6 +304,13 @@ def evaluation_report(spark, sf):
     return _evaluation(spark, sf)["class_report"]
 
 
+def _all_scored(out: dict, *fields: str):
+    """Scored rows, and rejected ones with their reasons."""
+    good = out["records"].select(*IDS, "risk_score", "risk_category", "adverse_event_flag", *fields)
+    bad = out["rejected"].select(*IDS, F.concat_ws(",", "reasons").alias("rejected_for"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @register("saved_model_scores")
 def saved_model_scores(spark, sf):
     """Save the pipeline and its metadata, load both, score with the loaded copy."""
@@ -309,17 +318,13 @@ def saved_model_scores(spark, sf):
     folder = fresh_folder(spark, "model")
     models.save_model(spark, fitted, folder)
     pipeline, info = models.load_model(spark, folder)
-    records = jobs.score_job(pipeline, info, matrix_a(spark, sf))["records"]
-    return records.select(*IDS, "risk_score", "risk_category", "adverse_event_flag", "model_version")
+    return _all_scored(jobs.score_job(pipeline, info, matrix_a(spark, sf)), "model_version")
 
 
 @register("batch_scoring")
 def batch_scoring(spark, sf):
     fitted = _model(spark, sf, "logistic_regression")
-    out = jobs.score_job(fitted.pipeline, _info(fitted), matrix_a(spark, sf))
-    good = out["records"].select(*IDS, "risk_score", "risk_category", "adverse_event_flag", "clinical_message")
-    bad = out["rejected"].select(*IDS, F.concat_ws(",", "reasons").alias("rejected_for"))
-    return good.unionByName(bad, allowMissingColumns=True)
+    return _all_scored(jobs.score_job(fitted.pipeline, _info(fitted), matrix_a(spark, sf)), "clinical_message")
 
 
 @register("batch_scoring_summary")

@@ -16,10 +16,16 @@ RUNTIME_SETTINGS = {
 }
 
 
+_TUNED: set[str] = set()
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+    """Apply the run-time settings to an existing session, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _TUNED:
+        for key, value in RUNTIME_SETTINGS.items():
+            spark.conf.set(key, value)
+        _TUNED.add(app)
     return spark
 
 

@@ -45,10 +45,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Model columns to DOUBLE; text that is no number becomes null."""
+    """Model columns to DOUBLE; text that is no number becomes null, and so does NaN."""
     columns = columns or BASE_FEATURES + [LABEL]
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast("double") for c in present})
+    number = {c: F.col(c).try_cast("double") for c in present}
+    return df.withColumns({c: F.when(~F.isnan(v), v) for c, v in number.items()})
 
 
 def drop_unlabelled(df: DataFrame) -> DataFrame:
