@@ -14,10 +14,10 @@ from wardlens.operators import scoring
 from wardlens.plans import jobs
 from wardlens.streaming import score_stream
 
-HEALTHY = dict(age=25, gender=0, length_of_stay=0.5, heart_rate_mean=68, creatinine_max=0.7, wbc_mean=6.5, drug_count=1,
-               polypharmacy_score=0.5, lab_abnormality_score=0)
-SICK = dict(age=85, gender=1, length_of_stay=15.0, heart_rate_mean=115, creatinine_max=5.0, wbc_mean=20.0, drug_count=20,
-            polypharmacy_score=10.0, lab_abnormality_score=6)
+HEALTHY = dict(age=34, gender=1, length_of_stay=1.25, heart_rate_mean=74, creatinine_max=0.9, wbc_mean=7.2, drug_count=2,
+               polypharmacy_score=1.0, lab_abnormality_score=0)
+SICK = dict(age=79, gender=0, length_of_stay=11.5, heart_rate_mean=121, creatinine_max=4.2, wbc_mean=23.5, drug_count=17,
+            polypharmacy_score=8.5, lab_abnormality_score=5)
 
 
 def patients(spark, *people):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from .. import fixed_values as fv
 from ..ml import attribution, models
 from ..ml.stages import MODEL_COLUMNS
 from ..operators import cleaning, metrics, scoring, summaries
+from ..sources.materialize import written
 from ..sources.sinks import write_csv, write_parquet
 
 IDS = ["icustay_id"]
@@ -75,7 +75,7 @@ def evaluate_job(
 ) -> dict[str, DataFrame]:
     """All evaluation tables of a saved model on rows it was not trained on."""
     threshold = info["optimal_threshold"]
-    scored = score_column(pipeline, test).select(*ids, fv.LABEL, "score").persist(StorageLevel.MEMORY_AND_DISK)
+    scored = written(score_column(pipeline, test).select(*ids, fv.LABEL, "score"), "evaluated")
     totals = metrics.score_totals(scored)
     counts = metrics.confusion(scored, threshold)
     ranking = metrics.ranking_metrics(totals).select("roc_auc", "avg_precision")

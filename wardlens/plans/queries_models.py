@@ -24,8 +24,6 @@ from .queries_extract import rounded
 from .queries_score import scored
 from .registry import matrix_a, register
 
-# registered ensembles are small; the library default is 300 trees
-QUERY_TREES = 20
 IDS = ["icustay_id"]
 _KEPT: dict[tuple, object] = {}
 
@@ -219,14 +217,29 @@ def _split(spark, sf):
     return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
 
 
+CONFIGS = models.model_configs(boosters=True)
+LOGISTIC = "logistic_regression"
+
+
+def _fits(spark, sf, names: list[str]) -> dict[str, models.FittedModel]:
+    train, test = _split(spark, sf)
+    prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
+    return models.train_models(train, test, {n: CONFIGS[n] for n in names}, prep=prep)
+
+
 def _model(spark, sf, name: str) -> models.FittedModel:
-    def fit():
-        train, test = _split(spark, sf)
-        prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
-        config = models.model_configs(QUERY_TREES)[name]
-        return models.train_models(train, test, {name: config}, prep=prep)[name]
+    """One fitted model; the ensembles are fitted side by side when the first is asked for."""
+    group = [LOGISTIC] if name == LOGISTIC else [n for n in CONFIGS if n != LOGISTIC]
+    return _once(spark, sf, f"models:{group}", lambda: _fits(spark, sf, group))[name]
+
 
-    return _once(spark, sf, f"model:{name}", fit)
+def _compared(spark, sf) -> dict[str, models.FittedModel]:
+    """All models with their cross-validated metrics."""
+    summary = {r["model"]: r.asDict() for r in models.cv_summary(_cv_table(spark, sf)).collect()}
+    out = {n: _model(spark, sf, n) for n in CONFIGS}
+    for name, fitted in out.items():
+        fitted.cv_metrics = {k: v for k, v in summary[name].items() if k != "model"}
+    return out
 
 
 def _info(fitted: models.FittedModel) -> dict:
@@ -261,18 +274,18 @@ def et_scores(spark, sf):
 
 @register("model_comparison")
 def model_comparison(spark, sf):
-    names = ["logistic_regression", "random_forest", "gradient_boosting", "extra_trees"]
-    return models.comparison_table(spark, {n: _model(spark, sf, n) for n in names})
+    """All models at full size, best cross-validated AUC first."""
+    return models.comparison_table(spark, _compared(spark, sf))
 
 
-def _cv_table(spark, sf):
-    def build():
-        train, _ = _split(spark, sf)
-        configs = models.model_configs(QUERY_TREES)
-        kept = {k: configs[k] for k in ["logistic_regression", "random_forest"]}
-        return models.cross_validate(train, IDS, kept, folds=3)
+@register("best_model")
+def best_model(spark, sf):
+    return models.best_row(model_comparison(spark, sf))
 
-    return _once(spark, sf, "cv", build)
+
+def _cv_table(spark, sf):
+    """Five folds of every model."""
+    return _once(spark, sf, "cv", lambda: models.cross_validate(_split(spark, sf)[0], IDS, CONFIGS, folds=5))
 
 
 @register("cv_table")
@@ -285,11 +298,12 @@ def cv_summary(spark, sf):
     return models.cv_summary(_cv_table(spark, sf))
 
 
-def _evaluation(spark, sf):
+def _evaluation(spark, sf) -> dict:
+    """The seven tables of the model that the comparison selects."""
+
     def build():
-        fitted = _model(spark, sf, "logistic_regression")
-        _, test = _split(spark, sf)
-        return jobs.evaluate_job(fitted.pipeline, _info(fitted), test, importance_repeats=0)
+        best = models.select_best(_compared(spark, sf))
+        return jobs.evaluate_job(best.pipeline, _info(best), _split(spark, sf)[1])
 
     return _once(spark, sf, "evaluation", build)
 
@@ -304,6 +318,31 @@ def evaluation_report(spark, sf):
     return _evaluation(spark, sf)["class_report"]
 
 
+@register("evaluation_roc_points")
+def evaluation_roc_points(spark, sf):
+    return _evaluation(spark, sf)["roc_points"]
+
+
+@register("evaluation_pr_points")
+def evaluation_pr_points(spark, sf):
+    return _evaluation(spark, sf)["pr_points"]
+
+
+@register("evaluation_calibration")
+def evaluation_calibration(spark, sf):
+    return _evaluation(spark, sf)["calibration"]
+
+
+@register("evaluation_histogram")
+def evaluation_histogram(spark, sf):
+    return _evaluation(spark, sf)["score_histogram"]
+
+
+@register("evaluation_importance")
+def evaluation_importance(spark, sf):
+    return _evaluation(spark, sf)["importance"]
+
+
 def _all_scored(out: dict, *fields: str):
     """Scored rows, and rejected ones with their reasons."""
     good = out["records"].select(*IDS, "risk_score", "risk_category", "adverse_event_flag", *fields)
