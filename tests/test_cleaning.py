@@ -30,7 +30,7 @@ def ids(df):
 
 
 def test_dedup_with_many_copies(spark, monkeypatch):
-    monkeypatch.setattr(cleaning, "COPIES_PER_TASK", 7)
+    monkeypatch.setattr(cleaning, "COPIES_PER_BLOCK", 7)
     rows = [row(1)] * 40 + [row(1, age=70.0)] * 3 + [row(2)] + [row(3, age=50.0), row(3, age=40.0)]
     df = frame(spark, rows)
     kept = cleaning.dedup_keep(df)

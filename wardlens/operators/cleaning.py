@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions import as_long, clip
 from ..functions.bands import age_group, flag, heart_rate_category, stay_category
+from ..sources.materialize import written
 from .ordered import as_lookup, quantile_table
+from .skew import null_safe_join
 
 COMPLETE_CASE_COLUMNS = [*fv.BASE_FEATURES, fv.LABEL]
-# copies of one row written by one task before the rest is spread
-COPIES_PER_TASK = 100_000
+# copies of one row that are written back together
+COPIES_PER_BLOCK = 100_000
 
 
 # --- duplicates -------------------------------------------------------------------
@@ -33,35 +35,36 @@ def dedup_keep(df: DataFrame, key: str = "icustay_id") -> DataFrame:
 
 
 def dedup_drop(df: DataFrame, key: str = "icustay_id") -> DataFrame:
-    """The rows ``dedup_keep`` leaves out, each as often as it occurs."""
+    """The rows ``dedup_keep`` leaves out, each as often as it occurs.
+
+    Equal rows are counted once, and all that follows reads the counts.  Copies are
+    written back in blocks, so that a row with very many of them is many tasks' work.
+    """
     rest = [c for c in df.columns if c != key]
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    # only keys with more than one row matter; they are joined on key and salt
-    repeated = _first_rows(df, key).filter(F.col("_rows") > 1).select(key, "_first")
-    salts = 16
-    salted = copies.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
-    spread = repeated.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = written(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), "row_counts")
+    repeated = (
+        copies.groupBy(key)
+        .agg(F.min(F.struct(*rest)).alias("_first"), F.sum("_copies").alias("_rows"))
+        .filter(F.col("_rows") > 1)
+        .select(key, "_first")
+    )
     is_first = F.struct(*rest).eqNullSafe(F.col("_first"))
     left_over = (
-        salted.join(spread, [key, "_salt"])
+        null_safe_join(copies, repeated, [key])
         .withColumn("_copies", F.col("_copies") - as_long(is_first))
         .filter(F.col("_copies") > 0)
-        .drop("_salt", "_first")
+        .drop("_first")
     )
-    few = left_over.filter(F.col("_copies") <= COPIES_PER_TASK)
-    many = left_over.filter(F.col("_copies") > COPIES_PER_TASK)
-    # a row with a huge number of copies is cut into blocks that are spread first
-    last = F.ceil(F.col("_copies") / F.lit(COPIES_PER_TASK)) - 1
+    last = F.ceil(F.col("_copies") / F.lit(COPIES_PER_BLOCK)) - 1
+    in_block = F.least(F.lit(COPIES_PER_BLOCK), F.col("_copies") - F.col("_block") * COPIES_PER_BLOCK)
     blocks = (
-        many.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn(
-            "_copies", F.least(F.lit(COPIES_PER_TASK), F.col("_copies") - F.col("_block") * COPIES_PER_TASK)
-        )
+        left_over.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .withColumn("_copies", in_block)
         .repartition(key, "_block")
         .drop("_block")
     )
     repeat = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
-    return few.unionByName(blocks).withColumn("_copy", repeat).select(*df.columns)
+    return blocks.withColumn("_copy", repeat).select(*df.columns)
 
 
 # --- ranges and fences -----------------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions import as_long, numeric_round
 from ..sources.clinical import ClinicalTables
+from ..sources.materialize import written
 from .skew import key_counts, salted_join
 
 
@@ -56,13 +57,16 @@ def _item(item: int | list[int], test) -> Column:
 
 # --- cohorts -----------------------------------------------------------------------
 def _cohort(t: ClinicalTables, stays: DataFrame, admission_columns: list[str], age_test) -> DataFrame:
-    """patients x admissions x stays; the filters run before the joins."""
+    """patients x admissions x stays; the filters run before the joins.
+
+    A patient or admission has few rows, and what skew there is the adaptive engine splits.
+    """
     admissions = t.admissions.filter(F.col("has_chartevents_data") == 1).select(
         "hadm_id", "subject_id", "admittime", *admission_columns
     )
     patients = t.patients.select("subject_id", "gender", "dob")
-    admitted = salted_join(admissions, patients, "subject_id").withColumn("age_years", age_years())
-    return salted_join(stays, admitted.filter(age_test(F.col("age_years"))), "hadm_id")
+    admitted = admissions.join(patients, "subject_id").withColumn("age_years", age_years())
+    return stays.join(admitted.filter(age_test(F.col("age_years"))), "hadm_id")
 
 
 def cohort_a(t: ClinicalTables) -> DataFrame:
@@ -320,7 +324,10 @@ def _label_columns() -> dict[str, Column]:
 
 
 def labels_a(t: ClinicalTables, cohort: DataFrame, labs: DataFrame) -> DataFrame:
-    """Composite label: death, readmission, sepsis code or critical labs."""
+    """Composite label: death, readmission, sepsis code or critical labs.
+
+    The cohort is read several times; pass a written one.
+    """
     facts = (
         key_counts(cohort, "hadm_id")
         .join(readmissions(t).drop("icu_stays_count"), "hadm_id", "left")
@@ -348,7 +355,7 @@ def feature_matrix_a(t: ClinicalTables, cohort: DataFrame | None = None, fanout:
     every side and one partitioning serves all of them.  The stays join that frame
     once, salted, and the heart rate once on the unique stay id.
     """
-    cohort = cohort if cohort is not None else cohort_a(t)
+    cohort = cohort if cohort is not None else written(cohort_a(t), "cohort_a")
     stays = key_counts(cohort, "hadm_id", "n_stays")
     admission = (
         stays.join(labs_by_admission_a(t), "hadm_id", "left")
@@ -389,7 +396,7 @@ MATRIX_B_COLUMNS = [
 
 def feature_matrix_b(t: ClinicalTables, cohort: DataFrame | None = None) -> DataFrame:
     """One row per stay of cohort b, clinical defaults filled in."""
-    cohort = cohort if cohort is not None else cohort_b(t)
+    cohort = cohort if cohort is not None else written(cohort_b(t), "cohort_b")
     stays = key_counts(cohort, "hadm_id", "n_stays")
     labs = labs_b(t).withColumnRenamed("lab_abnormality_count", "lab_abnormality_score")
     admission = stays.join(labs, "hadm_id", "left").join(medications_b(t), "hadm_id", "left")

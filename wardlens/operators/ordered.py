@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.materialize import written
 from .skew import null_safe_join
 
 SKETCH_PER_RANGE = 20  # the sketch may misplace an edge by a 20th of a range
@@ -57,6 +58,7 @@ def running_totals(
     """
     by = list(by)
     ranges = max(2, ranges or default_ranges(counts))
+    counts = written(counts, "value_counts")  # read three times below, and much smaller than the rows
     probs = [(i + 1) / ranges for i in range(ranges - 1)]
     edges = F.percentile_approx(key, probs, SKETCH_PER_RANGE * ranges).alias("_edges")
     if by:

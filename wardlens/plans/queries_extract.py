@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric_round
 from ..operators import extract
+from ..sources.materialize import written
 from .oracle_ctes import CTES, r6, with_ctes
 from .registry import register, tables
 
@@ -100,7 +101,7 @@ def sepsis_admissions(spark, sf):
 @register("labels_a", _oracle("labels_a", ""))
 def labels_a(spark, sf):
     t = tables(spark, sf)
-    cohort = extract.cohort_a(t)
+    cohort = written(extract.cohort_a(t), "cohort_a")
     return extract.labels_a(t, cohort, extract.labs_a(t, cohort))
 
 
