@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -217,19 +219,21 @@ def _split(spark, sf):
     return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
 
 
-CONFIGS = models.model_configs(boosters=True)
+CONFIGS = models.model_configs()
+BOOSTERS = {k: c for k, c in models.model_configs(boosters=True).items() if k not in CONFIGS}
 LOGISTIC = "logistic_regression"
 
 
 def _fits(spark, sf, names: list[str]) -> dict[str, models.FittedModel]:
     train, test = _split(spark, sf)
     prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
-    return models.train_models(train, test, {n: CONFIGS[n] for n in names}, prep=prep)
+    return models.train_models(train, test, {n: (CONFIGS | BOOSTERS)[n] for n in names}, prep=prep)
 
 
 def _model(spark, sf, name: str) -> models.FittedModel:
-    """One fitted model; the ensembles are fitted side by side when the first is asked for."""
-    group = [LOGISTIC] if name == LOGISTIC else [n for n in CONFIGS if n != LOGISTIC]
+    """One fitted model; the models of a group are fitted side by side when the first is asked for."""
+    groups = [[LOGISTIC], [n for n in CONFIGS if n != LOGISTIC], [*BOOSTERS]]
+    group = next(g for g in groups if name in g)
     return _once(spark, sf, f"models:{group}", lambda: _fits(spark, sf, group))[name]
 
 
@@ -272,6 +276,13 @@ def et_scores(spark, sf):
     return _scores(spark, sf, "extra_trees")
 
 
+@register("booster_scores")
+def booster_scores(spark, sf):
+    """Both boosters with weighted classes, one below the other."""
+    parts = [_scores(spark, sf, n).withColumn("model", F.lit(n)) for n in BOOSTERS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("model_comparison")
 def model_comparison(spark, sf):
     """All models at full size, best cross-validated AUC first."""
