@@ -92,7 +92,7 @@ def test_scoring_and_validation(spark, trained):
     scores = {r.icustay_id: r for r in out["records"].collect()}
     assert sorted(scores) == [0, 1, 5]
     assert scores[1].risk_score > scores[0].risk_score
-    assert scores[1].input_features["age"] == 85.0 and scores[1].model_version == "test_v0:logistic_regression"
+    assert scores[1].input_features["age"] == float(SICK["age"]) and scores[1].model_version == "test_v0:logistic_regression"
     assert scores[1].clinical_message == fv.RISK_MESSAGES[scores[1].risk_category]
     reasons = {r.icustay_id: r.reasons for r in out["rejected"].collect()}
     assert reasons == {2: ["age"], 3: ["length_of_stay"], 4: ["wbc_mean"]}
