@@ -2,9 +2,9 @@
 
 A first pass over the lines fills two Bloom filters, one of hashes seen once and one of
 hashes seen in a second document.  A second pass tests each line against the second
-filter: only suspected repeats leave their task.  These are grouped by the exact line, so
-that a false alarm of the filter changes nothing, and the holder that keeps the line is
-chosen there.
+filter: only suspected repeats leave their task, as 128-bit digests of the line.  These are
+grouped and counted exactly, so that a false alarm of the filter changes nothing, and the
+holder that keeps the line is chosen there.
 
 The filters' size follows the number of lines (``bits_per_line``) up to ``max_filter_bytes``
 each, which bounds what is broadcast.  Beyond that size the filter lets more single lines
@@ -17,6 +17,7 @@ documents lie.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -46,6 +47,11 @@ def _long_enough(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (key.isascii() or len(key.decode()) >= min_chars)
 
 
+def key_digest(key: bytes) -> bytes:
+    """What stands for a key once it leaves its task."""
+    return hashlib.blake2b(key, digest_size=16).digest()
+
+
 def line_keys(text: bytes, min_chars: int) -> set[bytes]:
     """The distinct keys of a text that are long enough to be looked at."""
     return {k for k in map(line_key, text.split(b"\n")) if _long_enough(k, min_chars)}
@@ -132,7 +138,7 @@ def _suspects(shared, min_chars: int):
         for text in texts.to_pylist():
             keys = [*line_keys(text, min_chars)]
             at, mask = _bits(_hashes(keys), len(bits))
-            out.append([k for k, hit in zip(keys, (bits[at] & mask) == mask) if hit])
+            out.append([key_digest(k) for k, hit in zip(keys, (bits[at] & mask) == mask) if hit])
         return pa.array(out, pa.list_(pa.binary()))
 
     return of
@@ -145,7 +151,7 @@ def dropped_keys(
     bits_per_line: int = BITS_PER_LINE,
     max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
-    """(id, dropped): the keys whose lines a document loses, for documents that lose any.
+    """(id, dropped): digests of the keys whose lines a document loses, where it loses any.
 
     ``docs`` has the columns ``id`` and ``text`` (bytes).
     """
@@ -173,7 +179,7 @@ def _apply(text: Column, dropped: Column) -> Column:
             left = lines
             if keys:
                 gone = set(keys)
-                left = [x for x in lines if line_key(x) not in gone]
+                left = [x for x in lines if key_digest(line_key(x)) not in gone]
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(left))
             kept.append(b"\n".join(left).decode())
