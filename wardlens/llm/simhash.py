@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.materialize import written
-from .common import LOWER, forest, group_batches, shingle_hashes, small_batches, utf8
+from .common import LOWER, forest, group_batches, shingle_hashes, small_batches, utf8, without
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -173,5 +173,7 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows that share the kept id count as one document and all stay.
     """
     found = simhash_components(docs, id_col, text_col)
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")
+    is_first = F.col(id_col).eqNullSafe(F.col("component_id"))
+    gone = found.groupBy(id_col).agg(F.bool_or(is_first).alias("stays")).filter("not stays")
+    # as a table its size is known, so that the engine moves texts only where the ids are many
+    return without(docs, written(gone.select(id_col), "gone"), id_col)
