@@ -35,7 +35,8 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window."""
     found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, found.filter("n_hit > 0").select("doc_id").distinct(), "doc_id")
+    hit = written(found.filter("n_hit > 0").select("doc_id").distinct(), "contaminated")
+    return without(docs, hit, "doc_id")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
