@@ -19,7 +19,6 @@ from ..sources import readers, sinks
 from ..sources.materialize import data_version, fresh_folder, materialize
 from ..streaming.scoring import score_stream, scored_records
 from . import jobs
-from .fixed_score import with_fixed_score
 from .oracle_ctes import linear_quantile, r6, with_ctes
 from .queries_clean import cleaned
 from .queries_extract import rounded
@@ -437,14 +436,3 @@ def model_linear_contributions(spark, sf):
 def model_importance_proxy(spark, sf):
     classifier, rows = _test_vectors(spark, sf)
     return explain.importance_proxy(rows, attribution.linear_importance(classifier, st.MODEL_COLUMNS), IDS, 8)
-
-
-@register("contribution_lists")
-def contribution_lists(spark, sf):
-    """One ordered list of contributions per stay, as a single text column."""
-    from .fixed_score import FIXED_BETA
-
-    top = explain.top_contributions(explain.linear_contributions(with_fixed_score(matrix_a(spark, sf)), FIXED_BETA, IDS), IDS, 8)
-    return explain.contribution_list(top, IDS).select(*IDS, F.to_json("contributions").alias("contributions"))
-
-

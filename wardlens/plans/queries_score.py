@@ -362,6 +362,23 @@ def top_contributions(spark, sf):
     return rounded(explain.top_contributions(_contributions(spark, sf), ["icustay_id"], 4))
 
 
+_BASE_VALUE = " + ".join(f"{b}e0 * m_{c}" for c, b in FIXED_BETA.items())
+_ENTRY = "concat_ws(':', rn, feature, direction, magnitude)"
+
+
+@register(
+    "contribution_lists",
+    with_ctes(f"""select m.icustay_id, {r6(f'-1.5e0 + {_BASE_VALUE}')} base_value, 'linear' as method,
+      coalesce(string_agg(case when rn is not null then {_ENTRY} end, ';' order by rn), '') contributions
+      from matrix_a m left join worded w on w.icustay_id = m.icustay_id, means group by all""", _CONTRIB),
+)
+def contribution_lists(spark, sf):
+    """One explanation per stay: base value, method, and the ordered list as text."""
+    found = explain.linear_explanations(matrix_a(spark, sf), FIXED_BETA, ["icustay_id"], 4, intercept=-1.5)
+    entry = lambda e: F.concat_ws(":", e["rank"].cast("string"), e["feature"], e["direction"], e["magnitude"])
+    return rounded(found.withColumn("contributions", F.array_join(F.transform("contributions", entry), ";")))
+
+
 @register(
     "mean_absolute_contribution",
     with_ctes(f"select feature, {r6('avg(abs(contribution))')} importance from contrib group by feature", _CONTRIB),
