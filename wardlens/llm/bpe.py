@@ -173,19 +173,22 @@ def encode_column(text: Column | str, path: str) -> Column:
     return of(utf8(text))
 
 
-def digest_column(text: Column | str, path: str) -> Column:
-    """A struct (n_tokens, ids_sha256, decoded_sha256); the ids need not leave the worker."""
+def digest_column(text: Column | str, path: str, keep_ids: bool = False) -> Column:
+    """A struct (n_tokens, ids_sha256, decoded_sha256, ids); neither the decoded text nor, unless
+    ``keep_ids``, the ids leave the worker (``ids`` is null then)."""
 
-    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
+    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string, ids: binary>")
     def of(texts: pa.Array) -> pa.Array:
         bpe = vocabulary(path)
-        n, ids, decoded = [], [], []
+        n, digests, decoded, kept = [], [], [], []
         for text in texts.to_pylist():
             pieces = [p for p in bpe.pieces(text.decode()) if p[0]]
-            n.append(sum(p[0] for p in pieces))
-            ids.append(hashlib.sha256(b"".join([p[1] for p in pieces])).hexdigest())
+            ids = b"".join([p[1] for p in pieces])
+            n.append(len(ids) // 4)
+            digests.append(hashlib.sha256(ids).hexdigest())
             decoded.append(hashlib.sha256(b" ".join([p[2] for p in pieces])).hexdigest())
-        arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-        return pa.StructArray.from_arrays(arrays, ["n_tokens", "ids_sha256", "decoded_sha256"])
+            kept.append(ids if keep_ids else None)
+        arrays = [pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (digests, decoded)), pa.array(kept, pa.binary())]
+        return pa.StructArray.from_arrays(arrays, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return of(utf8(text))

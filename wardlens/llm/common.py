@@ -11,9 +11,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows in one Arrow batch.  Whole texts travel in a batch, so it is small: a thousand
-# texts of 100 KB are 100 MB.
-BATCH_ROWS = 1000
+# Rows in one Arrow batch.  Whole texts travel in a batch, so it is small: 250 texts of
+# 100 KB are 25 MB.
+BATCH_ROWS = 250
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
