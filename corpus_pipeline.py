@@ -42,17 +42,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document and digests of ids and decoded text."""
     small_batches(spark)
-    packed = bpe.encode_column(docs["text"], public_tokenizers.path(VOCABULARY))
+    packed = bpe.digest_column(docs["text"], public_tokenizers.path(VOCABULARY), keep_ids=True)
     tokens = docs.select("doc_id", "lang", "source", packed.alias("t"))
-    return tokens.select(
-        "doc_id",
-        "lang",
-        "source",
-        "t.n_tokens",
-        "t.ids",
-        F.sha2("t.ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("t.decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return tokens.select("doc_id", "lang", "source", "t.n_tokens", "t.ids", "t.ids_sha256", "t.decoded_sha256")
 
 
 STAGES = [
