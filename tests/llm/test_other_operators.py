@@ -182,11 +182,11 @@ def cosine_rows(ids, vectors, limit=0.9):
     return sorted((int(i), int(n), component[int(i)], component[int(i)] == i) for i, n in zip(ids, near.sum(axis=1)))
 
 
-@pytest.mark.parametrize("tile", [16, 1024])
-def test_embeddings_of_the_small_table(spark, tile):
+@pytest.mark.parametrize("tiles", [(16, 64), (512, 8192)])
+def test_embeddings_of_the_small_table(spark, tiles):
     rows_ = table("embeddings")
     vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
-    got = rows(pq_dedup.cosine_components(vectors, tile=tile), "vec_id", "n_links", "component_id", "kept")
+    got = rows(pq_dedup.cosine_components(vectors, tiles=tiles), "vec_id", "n_links", "component_id", "kept")
     expected = cosine_rows([r["vec_id"] for r in rows_], [r["embedding"] for r in rows_])
     assert got == expected
 

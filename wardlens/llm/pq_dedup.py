@@ -20,8 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.materialize import written
 from .common import forest, group_batches, small_batches
@@ -33,7 +35,7 @@ MAX_LISTS = 4096
 SAMPLE_PER_LIST = 32  # at most MAX_LISTS * SAMPLE_PER_LIST vectors are fitted on
 SUBSPACES = 8
 CODES = 256
-TILE_ROWS = 1024
+MEMBER_TILE, VISITOR_TILE = 512, 8192  # rows of a cell; visitors are compared a member tile at a time
 PAIRS_AT_ONCE = 1 << 15
 _ROUNDING = 1e-9
 _CELL_BITS = 20
@@ -59,11 +61,11 @@ def _nearest(x: np.ndarray, centre: np.ndarray, n: int) -> np.ndarray:
     return np.take_along_axis(some, np.take_along_axis(far, some, axis=1).argsort(axis=1, kind="stable"), axis=1)
 
 
-def unit_rows(packed: list[bytes], width: int) -> np.ndarray:
-    """Vectors of doubles, filled up with zeros to ``width`` and scaled to length one."""
+def unit_rows(packed: list[bytes], width: int, kind: str) -> np.ndarray:
+    """Packed vectors as doubles, filled up with zeros to ``width`` and scaled to length one."""
     out = np.zeros((len(packed), width))
     for i, raw in enumerate(packed):
-        v = np.frombuffer(raw, "<f8")
+        v = np.frombuffer(raw, kind)
         out[i, : len(v)] = v
     out /= np.abs(out).max(axis=1, keepdims=True)  # so that squares stay in range
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
@@ -122,7 +124,7 @@ def links_in_cell(
     return x[found], y[found]
 
 
-def _assign(shared, probes: int):
+def _assign(shared, probes: int, kind: str):
     """(cid, packed) -> list, codes, coding error and probed lists of each vector."""
 
     def assign(batches):
@@ -130,7 +132,7 @@ def _assign(shared, probes: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = unit_rows(batch.column("packed").to_pylist(), index.width)
+            x = unit_rows(batch.column("packed").to_pylist(), index.width, kind)
             lists = _nearest(x, index.centroids, probes)
             codes, missed = index.encode(x, lists[:, 0])
             arrays = [
@@ -147,36 +149,42 @@ def _assign(shared, probes: int):
     return assign
 
 
-def _compare(shared, min_cosine: float):
+def _compare(shared, min_cosine: float, kind: str):
     """Sorted rows of cells -> (a, null, links of a) and (a, b, null) rows."""
 
-    def compare(batches):
+    def in_cell(cell: pa.Table):
+        """Positions of linked (visitor, member) rows of one cell, a block of visitors at a time."""
         index = shared.value
+        is_member = cell.column("codes").is_valid().to_numpy()
+        members, visitors = np.flatnonzero(is_member), np.flatnonzero(~is_member)
+        if not len(members):
+            return
+        coded = cell.take(members)
+        codes = np.frombuffer(b"".join(coded.column("codes").to_pylist()), np.uint8).reshape(len(members), SUBSPACES)
+        missed = coded.column("missed").to_numpy()
+        m = unit_rows(coded.column("packed").to_pylist(), index.width, kind)
+        list_no = cell.column("cell")[0].as_py() >> (2 * _CELL_BITS)
+        for at in range(0, len(visitors), MEMBER_TILE):
+            own = visitors[at : at + MEMBER_TILE]
+            q = unit_rows(cell.column("packed").take(own).to_pylist(), index.width, kind)
+            a, b = links_in_cell(index, list_no, q, m, codes, missed, min_cosine)
+            yield own[a], members[b]
+
+    def compare(batches):
         for table in group_batches(batches, "cell"):
-            cell, member = table.column("cell").to_numpy(), table.column("codes").is_valid().to_numpy()
-            cid, n = table.column("cid").to_numpy(), table.column("n").to_numpy()
-            width = np.array([len(p) for p in table.column("packed").to_pylist()])
-            edges = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1, append=cell[-1] + 1))
+            cells = table.column("cell").to_numpy()
+            edges = np.flatnonzero(np.diff(cells, prepend=cells[0] - 1, append=cells[-1] + 1))
             for start, end in zip(edges, edges[1:]):
-                rows = np.arange(start, end)
-                m, q = rows[member[rows]], rows[~member[rows]]
-                if not len(m) or not len(q):
-                    continue
-                part = table.slice(start, end - start)
-                x = unit_rows(part.column("packed").to_pylist(), index.width)
-                members = part.filter(part.column("codes").is_valid())
-                codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(len(m), SUBSPACES)
-                missed = members.column("missed").to_numpy()
-                a, b = links_in_cell(index, int(cell[start]) >> (2 * _CELL_BITS), x[q - start], x[m - start], codes, missed, min_cosine)
-                a, b = q[a], m[b]
-                other = (cid[a] != cid[b]) & (width[a] == width[b])
-                a, b = a[other], b[other]
-                if not len(a):
-                    continue
-                linked, place = np.unique(cid[a], return_inverse=True)
-                counts = np.bincount(place, n[b], len(linked)).astype(np.int64)
-                yield _rows(linked, None, counts)
-                yield _rows(*forest(cid[a], cid[b]), None)
+                cell = table.slice(start, end - start).combine_chunks()
+                cid, n = cell.column("cid").to_numpy(), cell.column("n").to_numpy()
+                width = pc.binary_length(cell.column("packed")).to_numpy()
+                for a, b in in_cell(cell):
+                    other = (cid[a] != cid[b]) & (width[a] == width[b])
+                    a, b = a[other], b[other]
+                    if len(a):
+                        linked, place = np.unique(cid[a], return_inverse=True)
+                        yield _rows(linked, None, np.bincount(place, n[b], len(linked)).astype(np.int64))
+                        yield _rows(*forest(cid[a], cid[b]), None)
 
     return compare
 
@@ -186,13 +194,13 @@ def _rows(a: np.ndarray, b: np.ndarray | None, links: np.ndarray | None) -> pa.R
     return pa.RecordBatch.from_arrays(columns, ["a", "b", "links"])
 
 
-def _packed(vec: str) -> Column:
-    """A vector as bytes of little-endian doubles."""
+def _packed(vec: str, kind: str) -> Column:
+    """A vector as the bytes of its numbers."""
 
     @F.arrow_udf("binary")
     def pack(vectors: pa.Array) -> pa.Array:
         ends = vectors.offsets.to_numpy()
-        values = vectors.values.to_numpy(zero_copy_only=False).astype("<f8")
+        values = vectors.values.to_numpy(zero_copy_only=False).astype(kind)
         return pa.array([values[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
 
     return pack(F.col(vec))
@@ -204,22 +212,22 @@ def usable(vec: Column) -> Column:
     return F.coalesce(F.exists(vec, lambda x: x != 0) & ~F.exists(vec, lambda x: F.coalesce(odd(x), F.lit(True))), F.lit(False))
 
 
-def fit_index(classes: DataFrame, sample_per_list: int = SAMPLE_PER_LIST, max_lists: int = MAX_LISTS) -> Index:
+def fit_index(classes: DataFrame, kind: str, sample_per_list: int = SAMPLE_PER_LIST, max_lists: int = MAX_LISTS) -> Index:
     """Fit on a bounded sample of the distinct vectors, chosen by a hash of the vector."""
     n, width = classes.agg(F.count("*"), F.max(F.octet_length("packed"))).first()
     n_lists = max(1, min(max_lists, int(n**0.5)))
     sample = classes.select("packed").orderBy(F.xxhash64("packed"), "packed").limit(n_lists * sample_per_list)
-    width = -(-width // 8 // SUBSPACES) * SUBSPACES
-    return Index.fit(unit_rows(sample.toArrow().column("packed").to_pylist(), width), n_lists)
+    width = -(-width // np.dtype(kind).itemsize // SUBSPACES) * SUBSPACES
+    return Index.fit(unit_rows(sample.toArrow().column("packed").to_pylist(), width, kind), n_lists)
 
 
-def cell_rows(assigned: DataFrame, tile: int = TILE_ROWS) -> DataFrame:
-    """Members and visitors of every list, dealt to cells of about ``tile`` rows of either."""
+def cell_rows(assigned: DataFrame, member_tile: int = MEMBER_TILE, visitor_tile: int = VISITOR_TILE) -> DataFrame:
+    """Members and visitors of every list, dealt to cells of bounded numbers of both."""
     visits = assigned.select("cid", "n", "packed", F.explode("probes").alias("list"))
     members = assigned.groupBy("list").agg(F.count("*").alias("members"))
     visitors = assigned.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count("*").alias("visitors"))
     tiles = members.join(visitors, "list").select(
-        "list", F.ceil(F.col("members") / tile).cast("long").alias("mt"), F.ceil(F.col("visitors") / tile).cast("long").alias("vt")
+        "list", F.ceil(F.col("members") / member_tile).cast("long").alias("mt"), F.ceil(F.col("visitors") / visitor_tile).cast("long").alias("vt")
     )
     tiles = F.broadcast(tiles)  # one row per list, so at most MAX_LISTS rows
 
@@ -245,7 +253,7 @@ def cosine_components(
     vec_col: str = "embedding",
     min_cosine: float = MIN_COSINE,
     probes: int = PROBES,
-    tile: int = TILE_ROWS,
+    tiles: tuple[int, int] = (MEMBER_TILE, VISITOR_TILE),
     sample_per_list: int = SAMPLE_PER_LIST,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) of every vector.
@@ -258,8 +266,9 @@ def cosine_components(
     """
     spark = vectors.sparkSession
     small_batches(spark, 4096)
+    kind = "<f4" if vectors.schema[vec_col].dataType == T.ArrayType(T.FloatType()) else "<f8"
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
-    good = written(rows.filter(usable(F.col("vec"))).select("id", _packed("vec").alias("packed")), "vectors")
+    good = written(rows.filter(usable(F.col("vec"))).select("id", _packed("vec", kind).alias("packed")), "vectors")
     grouped = good.groupBy("packed").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
     classes = written(grouped.withColumn("cid", F.monotonically_increasing_id()), "vector_classes")
     alone = rows.filter(~usable(F.col("vec"))).select(
@@ -267,11 +276,11 @@ def cosine_components(
     )
     result = alone
     if classes.head(1):
-        shared = spark.sparkContext.broadcast(fit_index(classes, sample_per_list))
+        shared = spark.sparkContext.broadcast(fit_index(classes, kind, sample_per_list))
         schema = "cid bigint, n bigint, packed binary, list int, codes binary, missed double, probes array<int>"
-        assigned = written(classes.select("cid", "n", "packed").mapInArrow(_assign(shared, probes), schema), "inverted_lists")
-        cells = cell_rows(assigned, tile).repartition("cell").sortWithinPartitions("cell")
-        found = written(cells.mapInArrow(_compare(shared, min_cosine), "a bigint, b bigint, links bigint"), "vector_links")
+        assigned = written(classes.select("cid", "n", "packed").mapInArrow(_assign(shared, probes, kind), schema), "inverted_lists")
+        cells = cell_rows(assigned, *tiles).repartition("cell").sortWithinPartitions("cell")
+        found = written(cells.mapInArrow(_compare(shared, min_cosine, kind), "a bigint, b bigint, links bigint"), "vector_links")
         counts = found.filter("links is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
         labels = components(found.filter("b is not null").select("a", "b")).toDF("cid", "label")
         labelled = classes.join(labels, "cid", "left").join(counts, "cid", "left").select(
