@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import contamination_rows, groups, held_out, line_rows, sha, simhash_rows, table
 from tokenizers import Tokenizer
@@ -207,6 +208,24 @@ def test_recall_near_the_limit(spark):
     assert expected >= 3000 and 0.95 * expected <= got <= expected
 
 
+@pytest.mark.parametrize("jitter", [0.3])
+def test_recall_in_a_dense_group(spark, jitter):
+    """A third of the vectors in one ball that draws far more lists than a few probes reach."""
+    rng = np.random.default_rng(13)
+    n, d = 30_000, 64
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(n, d)))
+    ball = rng.permutation(n)[: n // 3]
+    x[ball] = unit(x[ball[0]] + jitter * x[ball])
+    index = pq_dedup.Index.fit(x[: 173 * pq_dedup.SAMPLE_PER_LIST], 173)
+    assert len(np.unique(pq_dedup._nearest(x[ball], index.centroids, 1))) > 40
+    expected = np.concatenate([(q @ x.T >= 0.9).sum(axis=1) - 1 for q in np.array_split(x, 30)])
+    data = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(x.ravel(), d).cast(pa.list_(pa.float64()))})
+    found = pq_dedup.cosine_components(spark.createDataFrame(data)).toArrow().sort_by("vec_id")
+    assert found.column("n_links").to_numpy().tolist() == expected.tolist()
+    assert len(set(np.array(found.column("component_id"))[ball])) == 1
+
+
 def test_odd_vectors(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=8).tolist()

@@ -1,17 +1,22 @@
 """Embedding near-duplicates with product quantisation.
 
 A coarse quantiser cuts the unit vectors into inverted lists; what is left of a vector
-after its list's centroid (the residual) is coded by a few bytes, one per subspace.  Every
-vector probes the lists of its nearest centroids.  There an approximate dot product is the
-sum of one table entry per subspace (asymmetric: the query is exact, the member is coded),
-and as the coding error of each member is stored, members whose approximate value plus
-that error stays below the limit are certainly no links.  The survivors are compared by
-exact cosine in double precision.
+after its list's centroid (the residual) is coded by a few bytes, one per subspace.  A
+vector visits every list that can hold a link: the angles of a list's members to its
+centroid span a ring, and all of them lie on the list's side of the plane between two
+centroids; a list is passed over only where the angle to the ring or to that side exceeds
+the angle of the limit, so that no link is lost.  In a list an approximate dot product is
+the sum of one table entry per subspace (asymmetric: the query is exact, the member is
+coded), and as the coding error of each member is stored, members whose approximate value
+plus that error stays below the limit are certainly no links.  The survivors are compared
+by exact cosine in double precision.
 
 Centroids and codebooks are fitted on a sample of bounded size; every vector is indexed
-and every vector is a query.  Equal vectors are one row with a count.  A list with many
-members or many visitors is cut into tiles, each pair of tiles a group of bounded size
-that hands on one count per visitor and at most one link per row, never all pairs.
+and every vector is a query.  Equal vectors are one row with a count.  Neighbouring lists
+stand on one shelf, and a vector is sent once to each shelf that has a list to visit.  A
+shelf with many members or many visitors is cut into tiles, each pair of tiles a group of
+bounded size that hands on one count per visitor and at most one link per row, never all
+pairs.
 """
 
 from __future__ import annotations
@@ -30,14 +35,17 @@ from .common import forest, group_batches, small_batches
 from .components import components
 
 MIN_COSINE = 0.9
-PROBES = 24
 MAX_LISTS = 4096
 SAMPLE_PER_LIST = 32  # at most MAX_LISTS * SAMPLE_PER_LIST vectors are fitted on
 SUBSPACES = 8
 CODES = 256
-MEMBER_TILE, VISITOR_TILE = 512, 8192  # rows of a cell; visitors are compared a member tile at a time
+MEMBER_TILE, VISITOR_TILE = 4096, 8192  # rows of a cell
+LEAST_SHELVES = 12  # of a small table, by smaller tiles
+VISITORS_AT_ONCE = 512
 PAIRS_AT_ONCE = 1 << 15
 _ROUNDING = 1e-9
+_SHORT = 1e-3  # lengths below it have no direction
+_ANGLE_ROUNDING = 1e-4  # the arc cosine of a number near one, divided by such a length
 _CELL_BITS = 20
 
 
@@ -103,6 +111,66 @@ class Index:
         """Dot products of each query's subvectors with all codes: subspace, query, code."""
         return np.stack([q @ book.T for q, book in zip(np.split(queries, SUBSPACES, axis=1), self.codebooks)])
 
+    def angles(self, x: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """Angle of each row to its list's centroid; 0 for a centroid too short to have a direction."""
+        centre = self.centroids[lists]
+        size = np.sqrt((centre * centre).sum(axis=1))
+        return _arc((x * centre).sum(axis=1), size)
+
+
+@dataclass
+class Shelves:
+    """Which lists stand on which shelf, and the ring of angles that each list's members span."""
+
+    least: np.ndarray  # of each list; no ring where the list is empty
+    most: np.ndarray
+    members: np.ndarray
+    shelf: np.ndarray
+
+    @classmethod
+    def of(cls, index: Index, rings: list[tuple[int, int, float, float]], member_tile: int) -> Shelves:
+        """From (list, members, least angle, greatest angle) of the lists that have members."""
+        n = len(index.centroids)
+        least, most, members = np.full(n, np.inf), np.full(n, -np.inf), np.zeros(n, np.int64)
+        for at, count, low, high in rings:
+            members[at], least[at], most[at] = count, low, high
+        shelf, number, held = np.zeros(n, np.int64), 0, 0
+        for at in _chain(index.centroids):
+            if held and held + members[at] > member_tile:
+                number, held = number + 1, 0
+            shelf[at] = number
+            held += members[at]
+        return cls(least, most, members, shelf)
+
+    def allowed(self, index: Index, x: np.ndarray, own: np.ndarray, lists: np.ndarray, min_cosine: float) -> np.ndarray:
+        """Row, list: whether a member of the list can reach ``min_cosine``; ``own`` are the rows' nearest lists."""
+        reach = np.arccos(np.clip(min_cosine, -1, 1)) + _ANGLE_ROUNDING
+        centre, near = index.centroids[lists], index.centroids[own]
+        square, near_square = (centre * centre).sum(axis=1), (near * near).sum(axis=1)
+        dots = x @ centre.T
+        size = np.sqrt(square)
+        angle = _arc(dots, size)
+        ring = (angle >= self.least[lists] - reach) & (angle <= self.most[lists] + reach)
+        # members have m . (centre - near) >= (|centre|^2 - |near|^2) / 2
+        gap = np.sqrt(np.maximum(square[None, :] + near_square[:, None] - 2 * (near @ centre.T), 0))
+        side = _arc(dots - (x * near).sum(axis=1)[:, None], gap) - _arc((square[None, :] - near_square[:, None]) / 2, gap)
+        return (self.members[lists] > 0) & ring & (side <= reach)
+
+
+def _arc(dots: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Angle between unit vectors and vectors of length ``size``; 0 where these are too short."""
+    return np.arccos(np.where(size < _SHORT, 1, np.clip(dots / np.maximum(size, _SHORT), -1, 1)))
+
+
+def _chain(centre: np.ndarray) -> list[int]:
+    """All centroids, each followed by the nearest one that is left."""
+    square, left = (centre * centre).sum(axis=1), np.ones(len(centre), bool)
+    order = [0]
+    for _ in range(len(centre) - 1):
+        left[order[-1]] = False
+        order.append(int(np.where(left, square - 2 * (centre @ centre[order[-1]]), np.inf).argmin()))
+    return order
+
 
 def links_in_cell(
     index: Index, list_no: int, q: np.ndarray, m: np.ndarray, codes: np.ndarray, missed: np.ndarray, min_cosine: float
@@ -124,8 +192,8 @@ def links_in_cell(
     return x[found], y[found]
 
 
-def _assign(shared, probes: int, kind: str):
-    """(cid, packed) -> list, codes, coding error and probed lists of each vector."""
+def _assign(shared, kind: str):
+    """(cid, n, packed) -> the same with list, angle to its centroid, codes and coding error."""
 
     def assign(batches):
         index = shared.value
@@ -133,42 +201,72 @@ def _assign(shared, probes: int, kind: str):
             if not batch.num_rows:
                 continue
             x = unit_rows(batch.column("packed").to_pylist(), index.width, kind)
-            lists = _nearest(x, index.centroids, probes)
-            codes, missed = index.encode(x, lists[:, 0])
+            lists = _nearest(x, index.centroids, 1)[:, 0]
+            codes, missed = index.encode(x, lists)
             arrays = [
-                batch.column("cid"),
-                batch.column("n"),
-                batch.column("packed"),
-                pa.array(lists[:, 0], pa.int32()),
+                *(batch.column(c) for c in ("cid", "n", "packed")),
+                pa.array(lists, pa.int32()),
+                pa.array(index.angles(x, lists)),
                 pa.array([c.tobytes() for c in codes], pa.binary()),
                 pa.array(missed),
-                pa.array(lists.tolist(), pa.list_(pa.int32())),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, ["cid", "n", "packed", "list", "codes", "missed", "probes"])
+            yield pa.RecordBatch.from_arrays(arrays, ["cid", "n", "packed", "list", "angle", "codes", "missed"])
 
     return assign
 
 
-def _compare(shared, min_cosine: float, kind: str):
+def _visit(shared, shelved, min_cosine: float, kind: str):
+    """Rows of ``_assign`` -> the same with their shelf and the shelves that they visit."""
+
+    def visit(batches):
+        index, shelves = shared.value, shelved.value
+        order = np.argsort(shelves.shelf, kind="stable")
+        starts = np.flatnonzero(np.diff(shelves.shelf[order], prepend=-1))
+        for batch in batches:
+            for at in range(0, batch.num_rows, VISITORS_AT_ONCE):
+                part = batch.slice(at, VISITORS_AT_ONCE)
+                x = unit_rows(part.column("packed").to_pylist(), index.width, kind)
+                own = part.column("list").to_numpy()
+                home = shelves.shelf[own]
+                allowed = shelves.allowed(index, x, own, order, min_cosine)
+                goes = np.logical_or.reduceat(allowed, starts, axis=1)
+                visits = pa.array([np.flatnonzero(g) for g in goes], pa.list_(pa.int32()))
+                arrays = [*(part.column(c) for c in ("cid", "n", "packed", "list", "codes", "missed")), pa.array(home, pa.int32()), visits]
+                yield pa.RecordBatch.from_arrays(arrays, ["cid", "n", "packed", "list", "codes", "missed", "shelf", "visits"])
+
+    return visit
+
+
+def _compare(shared, shelved, min_cosine: float, kind: str):
     """Sorted rows of cells -> (a, null, links of a) and (a, b, null) rows."""
 
     def in_cell(cell: pa.Table):
-        """Positions of linked (visitor, member) rows of one cell, a block of visitors at a time."""
-        index = shared.value
+        """Positions of linked (visitor, member) rows of one cell, a block of visitors and a list at a time."""
+        index, shelves = shared.value, shelved.value
         is_member = cell.column("codes").is_valid().to_numpy()
         members, visitors = np.flatnonzero(is_member), np.flatnonzero(~is_member)
         if not len(members):
             return
+        list_of = cell.column("list").to_numpy()
+        members = members[np.argsort(list_of[members], kind="stable")]
         coded = cell.take(members)
         codes = np.frombuffer(b"".join(coded.column("codes").to_pylist()), np.uint8).reshape(len(members), SUBSPACES)
         missed = coded.column("missed").to_numpy()
         m = unit_rows(coded.column("packed").to_pylist(), index.width, kind)
-        list_no = cell.column("cell")[0].as_py() >> (2 * _CELL_BITS)
-        for at in range(0, len(visitors), MEMBER_TILE):
-            own = visitors[at : at + MEMBER_TILE]
-            q = unit_rows(cell.column("packed").take(own).to_pylist(), index.width, kind)
-            a, b = links_in_cell(index, list_no, q, m, codes, missed, min_cosine)
-            yield own[a], members[b]
+        lists, starts = np.unique(list_of[members], return_index=True)
+        ends = np.append(starts[1:], len(members))
+        for at in range(0, len(visitors), VISITORS_AT_ONCE):
+            block = visitors[at : at + VISITORS_AT_ONCE]
+            q = unit_rows(cell.column("packed").take(block).to_pylist(), index.width, kind)
+            allowed = shelves.allowed(index, q, list_of[block], lists, min_cosine)
+            found = []
+            for j, (start, end) in enumerate(zip(starts, ends)):
+                rows = np.flatnonzero(allowed[:, j])
+                if len(rows):
+                    a, b = links_in_cell(index, lists[j], q[rows], m[start:end], codes[start:end], missed[start:end], min_cosine)
+                    found.append((block[rows[a]], members[start + b]))
+            if found:
+                yield tuple(np.concatenate(side) for side in zip(*found))
 
     def compare(batches):
         for table in group_batches(batches, "cell"):
@@ -178,13 +276,16 @@ def _compare(shared, min_cosine: float, kind: str):
                 cell = table.slice(start, end - start).combine_chunks()
                 cid, n = cell.column("cid").to_numpy(), cell.column("n").to_numpy()
                 width = pc.binary_length(cell.column("packed")).to_numpy()
+                links = np.zeros(len(cid))
                 for a, b in in_cell(cell):
                     other = (cid[a] != cid[b]) & (width[a] == width[b])
                     a, b = a[other], b[other]
                     if len(a):
-                        linked, place = np.unique(cid[a], return_inverse=True)
-                        yield _rows(linked, None, np.bincount(place, n[b], len(linked)).astype(np.int64))
+                        links += np.bincount(a, n[b], len(cid))
                         yield _rows(*forest(cid[a], cid[b]), None)
+                linked = np.flatnonzero(links)
+                if len(linked):
+                    yield _rows(cid[linked], None, links[linked].astype(np.int64))
 
     return compare
 
@@ -221,28 +322,28 @@ def fit_index(classes: DataFrame, kind: str, sample_per_list: int = SAMPLE_PER_L
     return Index.fit(unit_rows(sample.toArrow().column("packed").to_pylist(), width, kind), n_lists)
 
 
-def cell_rows(assigned: DataFrame, member_tile: int = MEMBER_TILE, visitor_tile: int = VISITOR_TILE) -> DataFrame:
-    """Members and visitors of every list, dealt to cells of bounded numbers of both."""
-    visits = assigned.select("cid", "n", "packed", F.explode("probes").alias("list"))
-    members = assigned.groupBy("list").agg(F.count("*").alias("members"))
-    visitors = assigned.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count("*").alias("visitors"))
-    tiles = members.join(visitors, "list").select(
-        "list", F.ceil(F.col("members") / member_tile).cast("long").alias("mt"), F.ceil(F.col("visitors") / visitor_tile).cast("long").alias("vt")
+def cell_rows(visiting: DataFrame, member_tile: int = MEMBER_TILE, visitor_tile: int = VISITOR_TILE) -> DataFrame:
+    """Members and visitors of every shelf, dealt to cells of bounded numbers of both."""
+    members = visiting.groupBy("shelf").agg(F.count("*").alias("members"))
+    visitors = visiting.select(F.explode("visits").alias("shelf")).groupBy("shelf").agg(F.count("*").alias("visitors"))
+    tiles = members.join(visitors, "shelf").select(
+        F.col("shelf").alias("at"), F.ceil(F.col("members") / member_tile).cast("long").alias("mt"), F.ceil(F.col("visitors") / visitor_tile).cast("long").alias("vt")
     )
-    tiles = F.broadcast(tiles)  # one row per list, so at most MAX_LISTS rows
+    tiles = F.broadcast(tiles)  # one row per shelf, so at most MAX_LISTS rows
 
     def cell(m: Column, v: Column) -> Column:
-        base = F.shiftleft(F.col("list").cast("long"), 2 * _CELL_BITS)
+        base = F.shiftleft(F.col("at").cast("long"), 2 * _CELL_BITS)
         return base.bitwiseOR(F.shiftleft(m, _CELL_BITS)).bitwiseOR(v)
 
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     own_m, own_v = (F.pmod(F.xxhash64("cid"), F.col(n)) for n in ("mt", "vt"))
-    as_member = assigned.join(tiles, "list").select(
-        F.explode(F.transform(upto("vt"), lambda v: cell(own_m, v))).alias("cell"), "cid", "n", "packed", "codes", "missed"
+    as_member = visiting.join(tiles, F.col("shelf") == F.col("at")).select(
+        F.explode(F.transform(upto("vt"), lambda v: cell(own_m, v))).alias("cell"), "cid", "n", "packed", "list", "shelf", "codes", "missed"
     )
     none = [F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("missed")]
-    as_visitor = visits.join(tiles, "list").select(
-        F.explode(F.transform(upto("mt"), lambda m: cell(m, own_v))).alias("cell"), "cid", "n", "packed", *none
+    visits = visiting.select("cid", "n", "packed", "list", "shelf", F.explode("visits").alias("to"))
+    as_visitor = visits.join(tiles, F.col("to") == F.col("at")).select(
+        F.explode(F.transform(upto("mt"), lambda m: cell(m, own_v))).alias("cell"), "cid", "n", "packed", "list", "shelf", *none
     )
     return as_member.unionByName(as_visitor)
 
@@ -252,7 +353,6 @@ def cosine_components(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     min_cosine: float = MIN_COSINE,
-    probes: int = PROBES,
     tiles: tuple[int, int] = (MEMBER_TILE, VISITOR_TILE),
     sample_per_list: int = SAMPLE_PER_LIST,
 ) -> DataFrame:
@@ -277,10 +377,16 @@ def cosine_components(
     result = alone
     if classes.head(1):
         shared = spark.sparkContext.broadcast(fit_index(classes, kind, sample_per_list))
-        schema = "cid bigint, n bigint, packed binary, list int, codes binary, missed double, probes array<int>"
-        assigned = written(classes.select("cid", "n", "packed").mapInArrow(_assign(shared, probes, kind), schema), "inverted_lists")
-        cells = cell_rows(assigned, *tiles).repartition("cell").sortWithinPartitions("cell")
-        found = written(cells.mapInArrow(_compare(shared, min_cosine, kind), "a bigint, b bigint, links bigint"), "vector_links")
+        schema = "cid bigint, n bigint, packed binary, list int, angle double, codes binary, missed double"
+        assigned = written(classes.select("cid", "n", "packed").mapInArrow(_assign(shared, kind), schema), "inverted_lists")
+        rings = assigned.groupBy("list").agg(F.count("*"), F.min("angle"), F.max("angle")).collect()  # at most MAX_LISTS rows
+        share = min(1, sum(r[1] for r in rings) / (LEAST_SHELVES * tiles[0]))
+        member_tile, visitor_tile = (max(1, round(t * share)) for t in tiles)
+        shelved = spark.sparkContext.broadcast(Shelves.of(shared.value, rings, member_tile))
+        schema = "cid bigint, n bigint, packed binary, list int, codes binary, missed double, shelf int, visits array<int>"
+        visiting = written(assigned.mapInArrow(_visit(shared, shelved, min_cosine, kind), schema), "visits")
+        cells = cell_rows(visiting, member_tile, visitor_tile).repartition("cell").sortWithinPartitions("cell")
+        found = written(cells.mapInArrow(_compare(shared, shelved, min_cosine, kind), "a bigint, b bigint, links bigint"), "vector_links")
         counts = found.filter("links is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
         labels = components(found.filter("b is not null").select("a", "b")).toDF("cid", "label")
         labelled = classes.join(labels, "cid", "left").join(counts, "cid", "left").select(
