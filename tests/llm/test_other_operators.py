@@ -1,6 +1,7 @@
 """Language identification, chat rotation, licence scan, sharding, embeddings, pipeline."""
 
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -226,6 +227,23 @@ def test_recall_in_a_dense_group(spark, jitter):
     assert len(set(np.array(found.column("component_id"))[ball])) == 1
 
 
+def test_a_pair_on_two_shelves_counts_at_both_ends():
+    """One is sent to the other's shelf, never both; equal vectors count as often as they are there."""
+    x = np.array([[1.0, *[0.0] * 7], [0.99, 0.1, *[0.0] * 6]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = pq_dedup.Index(8, x.copy(), np.zeros((8, 1, 1)))
+    shelves = pq_dedup.Shelves(np.zeros(2), np.zeros(2), np.ones(2, np.int64), np.arange(2))
+    shared, shelved = SimpleNamespace(value=index), SimpleNamespace(value=shelves)
+    assigned = pa.RecordBatch.from_pylist([{"cid": 10 + i, "n": 3 + i, "packed": v.tobytes()} for i, v in enumerate(x)])
+    [visiting] = pq_dedup._visit(shared, shelved, 0.9, "<f8")(pq_dedup._assign(shared, "<f8")([assigned]))
+    assert visiting.column("visits").to_pylist() == [[0], [0, 1]]
+    member, visitor = visiting.to_pylist()
+    cell = [{"cell": 0, **r} for r in (member, {**visitor, "codes": None, "missed": None})]
+    schema = pa.schema([pa.field("cell", pa.int64()), *visiting.schema])
+    found = [r for b in pq_dedup._compare(shared, shelved, 0.9, "<f8")([pa.RecordBatch.from_pylist(cell, schema)]) for r in b.to_pylist()]
+    assert {r["a"]: r["links"] for r in found if r["links"] is not None} == {10: 4, 11: 3}
+
+
 def test_odd_vectors(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=8).tolist()

@@ -13,10 +13,10 @@ by exact cosine in double precision.
 
 Centroids and codebooks are fitted on a sample of bounded size; every vector is indexed
 and every vector is a query.  Equal vectors are one row with a count.  Neighbouring lists
-stand on one shelf, and a vector is sent once to each shelf that has a list to visit.  A
-shelf with many members or many visitors is cut into tiles, each pair of tiles a group of
-bounded size that hands on one count per visitor and at most one link per row, never all
-pairs.
+stand on one shelf, and a vector is sent once to each shelf that has a list to visit, up
+to its own: a pair on two shelves is compared once and counts at both ends.  A shelf with
+many members or many visitors is cut into tiles, each pair of tiles a group of bounded
+size that hands on one count and at most one link per row, never all pairs.
 """
 
 from __future__ import annotations
@@ -216,7 +216,7 @@ def _assign(shared, kind: str):
 
 
 def _visit(shared, shelved, min_cosine: float, kind: str):
-    """Rows of ``_assign`` -> the same with their shelf and the shelves that they visit."""
+    """Rows of ``_assign`` -> the same with their shelf and the shelves up to it that they visit."""
 
     def visit(batches):
         index, shelves = shared.value, shelved.value
@@ -230,6 +230,7 @@ def _visit(shared, shelved, min_cosine: float, kind: str):
                 home = shelves.shelf[own]
                 allowed = shelves.allowed(index, x, own, order, min_cosine)
                 goes = np.logical_or.reduceat(allowed, starts, axis=1)
+                goes &= np.arange(len(starts))[None, :] <= home[:, None]
                 visits = pa.array([np.flatnonzero(g) for g in goes], pa.list_(pa.int32()))
                 arrays = [*(part.column(c) for c in ("cid", "n", "packed", "list", "codes", "missed")), pa.array(home, pa.int32()), visits]
                 yield pa.RecordBatch.from_arrays(arrays, ["cid", "n", "packed", "list", "codes", "missed", "shelf", "visits"])
@@ -276,12 +277,16 @@ def _compare(shared, shelved, min_cosine: float, kind: str):
                 cell = table.slice(start, end - start).combine_chunks()
                 cid, n = cell.column("cid").to_numpy(), cell.column("n").to_numpy()
                 width = pc.binary_length(cell.column("packed")).to_numpy()
+                # on its own shelf every row is a visitor and a member, so that each end counts as visitor
+                abroad = cell.column("shelf").to_numpy() != cells[start] >> (2 * _CELL_BITS)
                 links = np.zeros(len(cid))
                 for a, b in in_cell(cell):
                     other = (cid[a] != cid[b]) & (width[a] == width[b])
                     a, b = a[other], b[other]
                     if len(a):
                         links += np.bincount(a, n[b], len(cid))
+                        back = abroad[a]
+                        links += np.bincount(b[back], n[a[back]], len(cid))
                         yield _rows(*forest(cid[a], cid[b]), None)
                 linked = np.flatnonzero(links)
                 if len(linked):
