@@ -11,13 +11,14 @@ from wardlens.llm.common import documents, small_batches, without
 from wardlens.sources.materialize import written
 
 VOCABULARY = "word_bpe_49k.json"
+MIN_LANGUAGE_SCORE = 0.2  # a script that was not learned scores 0, or little where a few words of a learned one are among it
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages learned from the labelled ones; others go."""
+    """Documents that score ``MIN_LANGUAGE_SCORE`` or more in a language learned from the labelled ones; others go."""
     profiles = language_id.fit_profiles(docs)
     found = language_id.predict_language(docs, profiles)
-    return docs.filter(found["lang_pred"] != language_id.UNKNOWN)
+    return docs.filter(found["score"] >= MIN_LANGUAGE_SCORE)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

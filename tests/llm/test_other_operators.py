@@ -276,6 +276,14 @@ def test_pipeline_is_its_plain_stages(spark):
     assert got == sorted(expected) and 0 < len(got) < 200
 
 
+def test_the_language_stage_rejects_scripts_that_were_not_learned(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    foreign = ["Это обычный русский текст о погоде.", "这是一个关于天气的中文文本。", "Это обычный русский текст о погоде, см. сайт https://example.org/about и пишите нам", " 12 ", None]
+    more = spark.createDataFrame([(-1 - i, t, None, "x", 1) for i, t in enumerate(foreign)], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.union(more), SMALL)
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
 def test_stages_keep_columns_and_take_empty_tables(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
