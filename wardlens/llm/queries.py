@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_counts
+from . import bpe, chat, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_alignment, token_counts
 from .common import documents, small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -112,3 +112,10 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Links and near-duplicate component of every embedding."""
     return pq_dedup.cosine_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@register("op13_token_alignment")
+def op13(spark, sf_dir):
+    """How the byte-level and the piece vocabulary cut every document, and how common its links are."""
+    paths = (public_tokenizers.path(p) for p in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.token_alignment(documents(spark, sf_dir), *paths)
