@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_alignment, token_counts
+from . import bpe, chat, collocations, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_alignment, token_counts
 from .common import documents, small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -114,6 +114,12 @@ def op10(spark, sf_dir):
     return pq_dedup.cosine_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@register("op11_collocations", collocations.oracle())
+def op11(spark, sf_dir):
+    """Each language's best phrases of two and three words."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 @register("op13_token_alignment")
 def op13(spark, sf_dir):
     """How the byte-level and the piece vocabulary cut every document, and how common its links are."""
