@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, collocations, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, token_alignment, token_counts
+from . import bpe, chat, collocations, decontamination, language_id, licenses, line_dedup, pq_dedup, sharding, simhash, substring_dedup, token_alignment, token_counts
 from .common import documents, small_batches
 
 VOCABULARY = "word_bpe_49k.json"
@@ -120,6 +120,13 @@ def op11(spark, sf_dir):
     return collocations.collocations(documents(spark, sf_dir))
 
 
+@register("op12_substring_dedup")
+def op12(spark, sf_dir):
+    """What stays of every document without the 100-byte strings that start earlier."""
+    found = substring_dedup.dedup_substrings(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op13_token_alignment")
 def op13(spark, sf_dir):
     """How the byte-level and the piece vocabulary cut every document, and how common its links are."""
