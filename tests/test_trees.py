@@ -186,10 +186,10 @@ def test_cover_and_split_of_equal_rows():
 
 @pytest.fixture(scope="module")
 def fitted(spark, matrix):
-    rows = matrix.withColumn("fold", F.lit(models.ALL_ROWS))
     prep = models.fit_preprocessing(matrix)
+    rows = models.training_rows(matrix.withColumn("fold", F.lit(models.ALL_ROWS)), ["icustay_id"], prep.stages[0], MODEL_COLUMNS)
     specs = {n: c.trees for n, c in models.model_configs(trees=6, boosters=True).items() if c.trees}
-    return prep, models.fit_ensembles(rows, ["icustay_id"], specs, {models.ALL_ROWS: prep}, MODEL_COLUMNS)
+    return prep, models.fit_ensembles(rows, specs, {models.ALL_ROWS: prep}, MODEL_COLUMNS)
 
 
 def test_bins_and_vectors_reach_the_same_leaves(spark, matrix, fitted):
@@ -239,7 +239,8 @@ def test_unlabelled_rows_and_missing_values(spark):
     same = SQLTransformer(statement="SELECT * FROM __THIS__")
     prep = PipelineModel(stages=[same, FillModel.of(["a", "b"], [100.0, 1.0]), VectorAssembler(inputCols=["a", "b"], outputCol=models.VECTOR)])
     spec = trees.TreeSpec("boost", trees=5, depth=2, min_leaf=1)
-    model = models.fit_ensembles(df, ["icustay_id"], {"m": spec}, {-1: prep}, ["a", "b"])["m", -1]
+    rows = models.training_rows(df, ["icustay_id"], same, ["a", "b"])
+    model = models.fit_ensembles(rows, {"m": spec}, {-1: prep}, ["a", "b"])["m", -1]
     scored = models.event_probability(model, prep.transform(df)).filter("a is not null and b = 1").collect()
     assert {r.a > 4: True for r in scored} == {True: True, False: True}
     assert min(r[models.PROBABILITY] for r in scored if r.a > 4) > max(r[models.PROBABILITY] for r in scored if r.a <= 4)

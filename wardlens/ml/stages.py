@@ -7,6 +7,7 @@ number or two per column and applies them as plain column expressions.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -95,6 +96,36 @@ class YeoJohnsonModel(_ColumnModel):
         )
 
 
+def array_form(stages: list[Model], columns: list[str]) -> list[tuple]:
+    """What the column stages do, as (kind, numbers per column...), for rows held as arrays."""
+    kinds = {FillModel: "fill", ClipModel: "clip", ShiftScaleModel: "shift", YeoJohnsonModel: "power"}
+    out = []
+    for stage in stages:
+        if list(stage.columns()) != list(columns):
+            raise ValueError("a stage works on other columns than the rows hold")
+        numbers = [stage.getOrDefault(p) for p in (stage.first, stage.second, stage.third) if stage.isDefined(p)]
+        out.append((kinds[type(stage)], *(np.array(v, float) for v in numbers)))
+    return out
+
+
+def apply_arrays(form: list[tuple], x: np.ndarray) -> np.ndarray:
+    """The stages of ``array_form`` on rows (n, columns); a missing value is NaN."""
+    for kind, first, *rest in form:
+        if kind == "fill":
+            x = np.where(np.isnan(x), first, x)
+        elif kind == "clip":
+            x = np.clip(x, first, rest[0])
+        elif kind == "shift":
+            x = (x - first) / rest[0]
+        else:
+            with np.errstate(invalid="ignore", divide="ignore"):
+                up = np.where(np.abs(first) < 1e-9, np.log1p(x), ((x + 1) ** first - 1) / first)
+                other = 2 - first
+                down = np.where(np.abs(other) < 1e-9, -np.log1p(-x), -((1 - x) ** other - 1) / other)
+            x = (np.where(x >= 0, up, down) - rest[0]) / rest[1]
+    return x
+
+
 class _ColumnEstimator(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, *, inputCols=None):

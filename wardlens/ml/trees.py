@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.materialize import written
+from .stages import apply_arrays
 
 BLOCK_ROWS = 1 << 16
 MAX_BINS = 64
@@ -384,18 +385,14 @@ def binned_blocks(rows: DataFrame, columns: list[str], edges: np.ndarray, label:
     return blocks, blocks.count()
 
 
-def fit_tables(spark, prep_stages: list, columns: list[str], edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def fit_tables(form: list[tuple], columns: list[str], edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bin map, upper ends of the bins) of a fit, by sending the edges through its stages.
 
-    The stages are monotone in each column.  A row without values shows what is imputed; one
-    with the largest number shows where the last bin ends."""
-    top = np.finfo(float).max / 4
-    table = np.concatenate([edges.T, np.full((1, len(columns)), top)])
-    rows = [(i, *map(float, r)) for i, r in enumerate(table)] + [(len(table), *[None] * len(columns))]
-    df = spark.createDataFrame(rows, "_i int, " + ", ".join(f"`{c}` double" for c in columns))
-    for stage in prep_stages:
-        df = stage.transform(df)
-    out = np.array([r[1:] for r in sorted(df.select("_i", *columns).collect())], float)
+    ``form`` is what the stages do to rows held as arrays; they are monotone in each column.
+    A row without values shows what is imputed; one with the largest number shows where the
+    last bin ends."""
+    top = np.full((1, len(columns)), np.finfo(float).max / 4)
+    out = apply_arrays(form, np.concatenate([edges.T, top, np.full_like(top, np.nan)]))
     moved, filled = out[:-1], out[-1]
     bin_map = np.zeros((len(columns), 256), np.uint8)
     ends = np.empty((len(columns), MAX_BINS))
@@ -434,7 +431,10 @@ def _grow_in_tasks(blocks: DataFrame, fits: list[Fit]) -> dict[tuple, list[Tree]
                 text = json.dumps([t.to_dict() for t in trees])
                 yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([start]), pa.array([text])], ["fit", "start", "trees"])
 
-    dealt = blocks.withColumn("job", F.explode(F.sequence(F.lit(0), F.lit(len(jobs) - 1)))).repartition(len(jobs), "job")
+    # one partition per job, in their order; the block is one row of bounded size
+    block = blocks.select(F.struct("*")).scalar()
+    spark = blocks.sparkSession
+    dealt = spark.range(0, len(jobs), 1, len(jobs)).select(F.col("id").alias("job"), block.alias("b")).select("job", "b.*")
     out: dict[tuple, list[Tree]] = {f.key: [] for f in fits}
     for row in sorted(dealt.mapInArrow(run, "fit bigint, start bigint, trees string").collect(), key=lambda r: (r[0], r[1])):
         out[fits[row["fit"]].key] += [Tree.from_dict(t) for t in json.loads(row["trees"])]
