@@ -1,39 +1,26 @@
-"""Statistical baseline: odds ratios, stepwise selection, fit statistics."""
+"""Statistical baseline: odds ratios, stepwise selection, fit statistics, classification, contrast."""
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.tails import normal_two_sided
+from ..operators import metrics
+from ..sources.materialize import written
+from .newton import Logit, LogitFit, fit_logits, logit_rows
 
 Z95 = 1.959964
 
 
-def fit_logit(df: DataFrame, features: list[str], label: str = fv.LABEL):
-    """Unpenalised logistic regression on complete rows."""
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
-    rows = rows.na.drop()
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    return GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="features", labelCol=label, maxIter=50, tol=1e-10
-    ).fit(vectors)
-
-
-def coefficient_rows(model, features: list[str]) -> list[tuple]:
+def coefficient_rows(fit: LogitFit, features: list[str]) -> list[tuple]:
     """(variable, estimate, se, wald z, p, odds ratio, lower, upper); intercept last."""
-    estimates = [*model.coefficients, model.intercept]
-    errors = model.summary.coefficientStandardErrors
+    errors = [math.sqrt(max(v, 0.0)) for v in fit.covariance.diagonal()]
     out = []
-    for name, b, se in zip([*features, "Intercept"], estimates, errors):
+    for name, b, se in [*zip(features, fit.beta[1:], errors[1:]), ("Intercept", fit.beta[0], errors[0])]:
         z = b / se if se > 0 else 0.0
         out.append((name, float(b), float(se), float(z), normal_two_sided(z),
                     math.exp(b), math.exp(b - Z95 * se), math.exp(b + Z95 * se)))
@@ -46,49 +33,18 @@ COEFFICIENTS = (
 )
 
 
-def univariate_odds_ratios(df: DataFrame, features: list[str] | None = None, parallelism: int = 3) -> DataFrame:
-    """Odds ratio with 95% Wald limits of each feature on its own."""
+def univariate_odds_ratios(df: DataFrame, features: list[str] | None = None, label: str = fv.LABEL) -> DataFrame:
+    """Odds ratio with 95% Wald limits of each feature on its own, all fits in the same passes."""
     features = features or fv.BASE_FEATURES
-    narrow = df.select(*features, fv.LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fits = pool.map(lambda c: coefficient_rows(fit_logit(narrow, [c]), [c])[0], features)
-        rows = [(r[0], fv.ODDS_RATIO_LABELS.get(r[0], r[0]), *r[5:]) for r in fits]
-    narrow.unpersist()
+    rows = written(logit_rows(df, features, label), "logit_rows")
+    fits = fit_logits(rows, [Logit(c, (i,)) for i, c in enumerate(features)])
+    found = [coefficient_rows(fit, [fit.logit.key])[0] for fit in fits]
+    table = [(r[0], fv.ODDS_RATIO_LABELS.get(r[0], r[0]), *r[5:]) for r in found]
     schema = "variable string, label string, odds_ratio double, lower_cl double, upper_cl double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(table, schema)
 
 
 # --- stepwise selection --------------------------------------------------------------
-def _score_tests(df: DataFrame, chosen: list[str], rest: list[str], beta: list[float], intercept: float, label: str):
-    """Score statistic of every candidate given the chosen model, from one aggregate."""
-    names = ["_one", *chosen, *rest]
-    x = {c: (F.lit(1.0) if c == "_one" else F.col(c)) for c in names}
-    eta = F.lit(float(intercept))
-    for c, b in zip(chosen, beta):
-        eta = eta + F.lit(float(b)) * F.col(c)
-    rows = df.withColumn("_p", 1.0 / (1.0 + F.exp(-eta)))
-    w = F.col("_p") * (1 - F.col("_p"))
-    resid = F.col(label) - F.col("_p")
-    k = len(names)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = rows.agg(
-        *[F.sum(x[c] * resid).alias(f"u{i}") for i, c in enumerate(names)],
-        *[F.sum(w * x[names[i]] * x[names[j]]).alias(f"i{i}_{j}") for i, j in pairs],
-    ).first()
-    info = np.zeros((k, k))
-    for i, j in pairs:
-        info[i, j] = info[j, i] = row[f"i{i}_{j}"]
-    grad = np.array([row[f"u{i}"] for i in range(k)])
-    m = 1 + len(chosen)
-    inner = np.linalg.pinv(info[:m, :m])
-    out = {}
-    for pos, c in enumerate(rest, m):
-        cross = info[pos, :m]
-        spread = info[pos, pos] - cross @ inner @ cross
-        out[c] = float(grad[pos] ** 2 / spread) if spread > 1e-12 else 0.0
-    return out
-
-
 def stepwise_logit(
     df: DataFrame,
     features: list[str] | None = None,
@@ -96,51 +52,49 @@ def stepwise_logit(
     stay: float = 0.10,
     label: str = fv.LABEL,
 ):
-    """Enter by score test, leave by Wald test.  Returns (model, chosen, history rows).
+    """Enter by score test, leave by Wald test.  Returns (fit, chosen, history rows).
 
-    Each step costs one aggregate over the rows and one fit.
+    The passes that fit a step's model also take the score tests of the next one.
     """
     features = features or fv.BASE_FEATURES
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
-    rows = rows.na.drop().persist(StorageLevel.MEMORY_AND_DISK)
-    rate = rows.agg(F.avg(label)).first()[0]
-    if rate is None or not 0 < rate < 1:
-        raise ValueError(f"a logistic fit needs complete rows of both classes; the event rate is {rate}")
+    complete = df.na.drop(subset=[*features, label])
+    rows = written(logit_rows(complete, features, label), "logit_rows")
+    place = {c: i for i, c in enumerate(features)}
+
+    def fitted(chosen: list[str]) -> LogitFit:
+        rest = [c for c in features if c not in chosen]
+        return fit_logits(rows, [Logit("step", tuple(place[c] for c in chosen), tuple(place[c] for c in rest))])[0]
+
     chosen: list[str] = []
-    model, beta, intercept = None, [], math.log(rate / (1 - rate))
+    fit = fitted(chosen)
     history: list[tuple] = []
     seen: set[tuple] = set()
     while len(chosen) < len(features):
-        rest = [c for c in features if c not in chosen]
-        tests = _score_tests(rows, chosen, rest, beta, intercept, label)
+        tests = {features[i]: v for i, v in fit.score_tests().items()}
         best = max(tests, key=tests.get)
         p = normal_two_sided(math.sqrt(max(tests[best], 0.0)))
         if p >= enter:
             break
         chosen = [*chosen, best]
         history.append((len(history) + 1, "enter", best, tests[best], p))
-        model = fit_logit(rows, chosen, label)
+        fit = fitted(chosen)
         while chosen:
-            wald = coefficient_rows(model, chosen)[:-1]
-            worst = max(wald, key=lambda r: r[4])
+            worst = max(coefficient_rows(fit, chosen)[:-1], key=lambda r: r[4])
             if worst[4] < stay:
                 break
             chosen = [c for c in chosen if c != worst[0]]
             history.append((len(history) + 1, "remove", worst[0], worst[3] ** 2, worst[4]))
-            model = fit_logit(rows, chosen, label) if chosen else None
-        beta = [float(b) for b in model.coefficients] if model else []
-        intercept = model.intercept if model else math.log(rate / (1 - rate))
+            fit = fitted(chosen)
         state = tuple(sorted(chosen))
         if state in seen:  # the same set again: entering and leaving would alternate
             break
         seen.add(state)
-    rows.unpersist()
-    return model, chosen, history
+    return (fit if chosen else None), chosen, history
 
 
-def fit_statistics(model, n: int, n_terms: int) -> list[tuple]:
+def fit_statistics(fit: LogitFit, n: int, n_terms: int) -> list[tuple]:
     """-2 log L, AIC, SC with and without covariates, R-square and its rescaled form."""
-    full, null = model.summary.deviance, model.summary.nullDeviance
+    full, null = -2 * fit.log_likelihood, -2 * fit.null_log_likelihood
     r2 = 1 - math.exp((full - null) / n)
     return [
         ("-2 Log L", null, full),
@@ -154,21 +108,115 @@ def fit_statistics(model, n: int, n_terms: int) -> list[tuple]:
 FIT_STATISTICS = "criterion string, intercept_only double, with_covariates double"
 
 
+def linear_score(fit: LogitFit, chosen: list[str]) -> Column:
+    """The fitted score on the logit scale; null where a value is missing."""
+    eta = F.lit(float(fit.beta[0]))
+    for c, b in zip(chosen, fit.beta[1:]):
+        eta = eta + F.lit(float(b)) * F.col(c)
+    return eta
+
+
+def probability(eta: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-eta))
+
+
+# --- classification without the row itself -----------------------------------------------
+def left_out_probability(fit: LogitFit, chosen: list[str], label: str = fv.LABEL) -> Column:
+    """Each row's probability under the coefficients that one step away from the fit leaves it out.
+
+    The spread of a row is x' V x with V the inverse information; its leverage is p (1 - p)
+    times that, and its share of the fit moves its score by spread (y - p) / (1 - leverage).
+    """
+    eta = linear_score(fit, chosen)
+    p = probability(eta)
+    design = [F.lit(1.0), *[F.col(c).cast("double") for c in chosen]]
+    v = fit.covariance
+    spread = F.lit(0.0)
+    for i, a in enumerate(design):
+        for j, b in enumerate(design[: i + 1]):
+            spread = spread + F.lit(float(v[i, j]) * (1 if i == j else 2)) * a * b
+    moved = eta - spread * (F.col(label) - p) / (1.0 - p * (1.0 - p) * spread)
+    return probability(moved)
+
+
+def classification_table(
+    df: DataFrame, fit: LogitFit, chosen: list[str], cutoffs: tuple[float, ...] = (0.5,), label: str = fv.LABEL
+) -> DataFrame:
+    """Per cutoff: right and wrong events and non-events, and their percentages, each row
+    judged by coefficients that leave it out.  Rows with a missing value are not classified."""
+    scored = df.filter(F.col(label).isNotNull()).select(F.col(label), left_out_probability(fit, chosen, label).alias("score"))
+    each = scored.filter(F.col("score").isNotNull()).withColumn("cutoff", F.explode(F.array(*[F.lit(float(c)) for c in cutoffs])))
+    counts = metrics.confusion(each, F.col("cutoff"), label=label, by=["cutoff"])
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    percent = lambda a, b: 100 * metrics.ratio(a, b)
+    return counts.select(
+        "cutoff",
+        tp.alias("correct_event"), tn.alias("correct_nonevent"), fp.alias("incorrect_event"), fn.alias("incorrect_nonevent"),
+        percent(tp + tn, tp + tn + fp + fn).alias("percent_correct"),
+        percent(tp, tp + fn).alias("sensitivity"), percent(tn, tn + fp).alias("specificity"),
+        percent(fp, tp + fp).alias("false_positive"), percent(fn, tn + fn).alias("false_negative"),
+    )
+
+
+# --- areas of two scores -----------------------------------------------------------------------
+def roc_contrast(df: DataFrame, first: str, second: str, label: str = fv.LABEL) -> DataFrame:
+    """Both areas, their difference with its standard error, and chi-square (1 df) of no difference.
+
+    The placement of an event is the share of non-events that score lower (ties one half), that
+    of a non-event the share of events that score higher.  Both come from the running totals of
+    each score; the areas' covariance is the placements' covariance among the events over their
+    number plus that among the non-events.
+    """
+    rows = df.filter(F.col(label).isNotNull() & F.col(first).isNotNull() & F.col(second).isNotNull())
+    rows = written(rows.select(F.col(first).cast("double").alias("a"), F.col(second).cast("double").alias("b"), F.col(label).cast("int").alias("y")), "contrast")
+    placed = rows
+    for name in ("a", "b"):
+        totals = metrics.score_totals(rows, name, "y")
+        neg_below, pos_above = metrics.neg_below(), F.col("total_pos") - F.col("cum_pos")
+        half_neg, half_pos = (F.col("n") - F.col("pos")) / 2.0, F.col("pos") / 2.0
+        shares = totals.select(
+            name,
+            metrics.ratio(neg_below + half_neg, F.col("total_n") - F.col("total_pos")).alias("event"),
+            metrics.ratio(pos_above + half_pos, F.col("total_pos")).alias("other"),
+        )
+        placed = placed.join(shares, name).withColumn(f"v{name}", F.when(F.col("y") == 1, F.col("event")).otherwise(F.col("other")))
+        placed = placed.drop("event", "other")
+    per_class = placed.groupBy("y").agg(
+        F.count("*").alias("n"), F.avg("va").alias("area_a"), F.avg("vb").alias("area_b"),
+        *[(F.covar_samp(x, z) / F.count("*")).alias(f"s_{x}{z}") for x, z in (("va", "va"), ("vb", "vb"), ("va", "vb"))],
+    )
+    spread = lambda name: F.sum(f"s_{name}")
+    areas = per_class.agg(
+        F.sum("n").alias("n"), F.max(F.when(F.col("y") == 1, F.col("n"))).alias("n_events"),
+        F.max(F.when(F.col("y") == 1, F.col("area_a"))).alias("area_a"), F.max(F.when(F.col("y") == 1, F.col("area_b"))).alias("area_b"),
+        F.sqrt(spread("vava")).alias("std_error_a"), F.sqrt(spread("vbvb")).alias("std_error_b"),
+        F.sqrt(F.greatest(spread("vava") + spread("vbvb") - 2 * spread("vavb"), F.lit(0.0))).alias("std_error"),
+    )
+    areas = areas.withColumn("difference", F.col("area_a") - F.col("area_b"))
+    return areas.withColumn("chi_square", F.try_divide(F.col("difference") ** 2, F.col("std_error") ** 2))
+
+
 def baseline_model(df: DataFrame, features: list[str] | None = None) -> dict[str, DataFrame]:
-    """Stepwise model of the cleaned table: coefficients, steps, fit statistics, scores."""
+    """Stepwise model of the cleaned table: coefficients, steps, fit statistics and scores, its
+    goodness of fit, association and classification, and its contrast with the model of all features."""
     spark = df.sparkSession
     features = features or fv.BASE_FEATURES
-    model, chosen, history = stepwise_logit(df, features)
+    fit, chosen, history = stepwise_logit(df, features)
     steps = spark.createDataFrame(history, "step int, action string, variable string, chi_square double, p double")
-    if model is None:
+    if fit is None:
         return {"steps": steps}
-    n = df.na.drop(subset=[*features, fv.LABEL]).count()
-    eta = F.lit(float(model.intercept))
-    for c, b in zip(chosen, model.coefficients):
-        eta = eta + F.lit(float(b)) * F.col(c)
+    complete = df.na.drop(subset=[*features, fv.LABEL])
+    full = fit_logits(written(logit_rows(complete, features, fv.LABEL), "logit_rows"), [Logit("full", tuple(range(len(features))))])[0]
+    scored = df.withColumn("pred_prob", probability(linear_score(fit, chosen)))
+    both = complete.select(fv.LABEL, linear_score(fit, chosen).alias("stepwise"), linear_score(full, features).alias("full"))
     return {
         "steps": steps,
-        "coefficients": spark.createDataFrame(coefficient_rows(model, chosen), COEFFICIENTS),
-        "fit_statistics": spark.createDataFrame(fit_statistics(model, n, len(chosen)), FIT_STATISTICS),
-        "predictions": df.withColumn("pred_prob", 1.0 / (1.0 + F.exp(-eta))),
+        "coefficients": spark.createDataFrame(coefficient_rows(fit, chosen), COEFFICIENTS),
+        "full_coefficients": spark.createDataFrame(coefficient_rows(full, features), COEFFICIENTS),
+        "fit_statistics": spark.createDataFrame(fit_statistics(fit, fit.n, len(chosen)), FIT_STATISTICS),
+        "predictions": scored,
+        "goodness_of_fit": metrics.hosmer_lemeshow(scored.filter("pred_prob is not null"), "pred_prob"),
+        "association": metrics.concordance(metrics.score_totals(scored, "pred_prob")),
+        "classification": classification_table(complete, fit, chosen),
+        "roc_contrast": roc_contrast(both, "full", "stepwise"),
     }

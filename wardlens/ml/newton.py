@@ -88,8 +88,10 @@ def _sums(logits: list[Logit], betas: list[np.ndarray], weights: list[tuple[floa
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
             for i, (logit, beta, (w0, w1)) in enumerate(zip(logits, betas, weights)):
                 inside = slice(None) if logit.fold is None else fold != logit.fold
-                seen, own = apply_arrays(logit.prepare, x[inside]), y[inside]
-                design = np.column_stack([np.ones(len(own)), seen[:, [*logit.columns, *logit.tested]]])
+                seen, own = apply_arrays(logit.prepare, x[inside])[:, [*logit.columns, *logit.tested]], y[inside]
+                whole = ~np.isnan(seen).any(axis=1)
+                seen, own = seen[whole], own[whole]
+                design = np.column_stack([np.ones(len(own)), seen])
                 eta = design[:, : len(beta)] @ beta
                 w = np.where(own == 1, w1, w0)
                 p = 1.0 / (1.0 + np.exp(-eta))
@@ -106,6 +108,18 @@ def _sums(logits: list[Logit], betas: list[np.ndarray], weights: list[tuple[floa
     return of
 
 
+def logit_rows(df: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """The labelled rows in the form that ``fit_logits`` reads; missing values stay missing."""
+    x = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.filter(F.col(label).isNotNull()).select(x.alias("x"), F.col(label).cast("int").alias("y"), F.lit(0).alias("fold"))
+
+
+def sums_at(rows: DataFrame, logit: Logit, beta: list[float]) -> DataFrame:
+    """(place, total): gradient, information, loss, rows and events at given coefficients."""
+    sums = rows.mapInArrow(_sums([logit], [np.array(beta, float)], [(1.0, 1.0)]), "logit int, place int, total double")
+    return sums.groupBy("place").agg(F.sum("total").alias("total"))
+
+
 def _class_weights(rows: DataFrame, logits: list[Logit]) -> list[tuple[float, float]]:
     counts = {(r["fold"], int(r["y"])): r["count"] for r in rows.groupBy("fold", "y").count().collect()}  # folds x classes
     out = []
@@ -120,7 +134,7 @@ def _class_weights(rows: DataFrame, logits: list[Logit]) -> list[tuple[float, fl
 def fit_logits(rows: DataFrame, logits: list[Logit], max_steps: int = MAX_STEPS) -> list[LogitFit]:
     """Fit all ``logits`` on ``rows`` (x array of doubles, y 0 or 1, fold), which are read once a step.
 
-    Rows must be complete.  A step that loses likelihood is halved.  A logit whose classes
+    A row counts for a logit where all columns it looks at have a value.  A step that loses likelihood is halved.  A logit whose classes
     are separated has no maximum; it stops after ``max_steps`` with large coefficients.
     """
     weights = _class_weights(rows, logits)
@@ -153,8 +167,10 @@ def fit_logits(rows: DataFrame, logits: list[Logit], max_steps: int = MAX_STEPS)
                 continue
             slope = gradient[:m] - ridge * beta
             step = np.linalg.lstsq(info[:m, :m] + np.diag(ridge), slope, rcond=None)[0]
+            if not 0 < events < n:
+                raise ValueError(f"a logistic fit needs complete rows of both classes, found {int(events)} events in {int(n)} rows")
             if float(slope @ step) < TOLERANCE * (1 + abs(objective)) or turn == max_steps - 1:
-                found[i] = LogitFit(logit, beta, gradient, info, -loss, int(n), int(events))
+                found[i] = LogitFit(logit, beta, gradient, info, -float(loss), int(n), int(events))
             else:
                 before[i], steps[i], betas[i] = objective, step, beta + step
     return found

@@ -26,7 +26,8 @@ def _neg() -> Column:
     return F.col("n") - F.col("pos")
 
 
-def _neg_below() -> Column:
+def neg_below() -> Column:
+    """Non-events with a lower score."""
     return (F.col("cum_n") - F.col("n")) - (F.col("cum_pos") - F.col("pos"))
 
 
@@ -51,7 +52,7 @@ def ratio(top: Column, bottom: Column) -> Column:
 # --- ranking metrics -----------------------------------------------------------------
 def ranking_metrics(totals: DataFrame, by: list[str] = ()) -> DataFrame:
     """ROC AUC (ties count one half) and step-wise average precision in one pass."""
-    wins = F.sum(F.col("pos") * (_neg_below() + _neg() / 2.0))
+    wins = F.sum(F.col("pos") * (neg_below() + _neg() / 2.0))
     pairs = F.max("total_pos").cast("double") * F.max(_total_neg())
     step = ratio(F.col("pos"), F.col("total_pos")) * ratio(_hits(), _flagged())
     return totals.groupBy(*by).agg(
@@ -67,7 +68,7 @@ def concordance(totals: DataFrame, by: list[str] = ()) -> DataFrame:
     base = totals.groupBy(*by).agg(
         F.max("total_n").cast("double").alias("_n"),
         (F.max("total_pos").cast("double") * F.max(_total_neg())).alias("pairs"),
-        F.sum(F.col("pos").cast("double") * _neg_below()).alias("_conc"),
+        F.sum(F.col("pos").cast("double") * neg_below()).alias("_conc"),
         F.sum(F.col("pos").cast("double") * _neg()).alias("_tied"),
     )
     base = base.withColumn("_disc", F.col("pairs") - F.col("_conc") - F.col("_tied"))

@@ -137,7 +137,7 @@ def run_pipeline(
 
 
 def baseline_job(cleaned: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """The statistical baseline and its five exported tables."""
+    """The statistical baseline and its exported tables."""
     from ..ml.inference import baseline_model, univariate_odds_ratios
 
     odds = univariate_odds_ratios(cleaned)
@@ -148,7 +148,8 @@ def baseline_job(cleaned: DataFrame, folder: str) -> dict[str, DataFrame]:
     out = {"odds_ratios": odds, "clinical_scores": bedside, **model}
     if "predictions" in model:
         out["calibration"] = metrics.calibration_by_decile(model["predictions"], "pred_prob")
-        write_csv(model["coefficients"], f"{folder}/logit_coefficients")
+        for name in ("coefficients", "fit_statistics", "goodness_of_fit", "association", "classification", "roc_contrast"):
+            write_csv(model[name], f"{folder}/logit_{name}")
         write_csv(out["calibration"], f"{folder}/calibration")
     return out
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.tails import chi_square_p, doubled_upper_tail_p, stars
-from ..ml import attribution, inference, models
+from ..ml import attribution, inference, models, newton
 from ..ml import stages as st
 from ..operators import explain, metrics, summaries
 from ..operators.sampling import stratified_split
@@ -19,6 +19,7 @@ from ..sources import readers, sinks
 from ..sources.materialize import data_version, fresh_folder, materialize
 from ..streaming.scoring import score_stream, scored_records
 from . import jobs
+from .fixed_score import FIXED_BETA, SCORE_SQL, with_fixed_score
 from .oracle_ctes import linear_quantile, r6, with_ctes
 from .queries_clean import cleaned
 from .queries_extract import rounded
@@ -210,6 +211,91 @@ def logit_calibration(spark, sf):
     return metrics.calibration_by_decile(_baseline(spark, sf)["predictions"], "pred_prob")
 
 
+@register("logit_goodness_of_fit")
+def logit_goodness_of_fit(spark, sf):
+    """Lack of fit of the fitted baseline over ten groups of its score, with p."""
+    table = _baseline(spark, sf)["goodness_of_fit"]
+    return table.withColumn("p", chi_square_p("chi_square", "df"))
+
+
+@register("logit_association")
+def logit_association(spark, sf):
+    """Concordant, discordant and tied pairs of the fitted baseline."""
+    return _baseline(spark, sf)["association"]
+
+
+@register("logit_classification")
+def logit_classification(spark, sf):
+    """Classification at 0.5, every row judged by coefficients that leave it out."""
+    return _baseline(spark, sf)["classification"]
+
+
+@register("logit_full_model")
+def logit_full_model(spark, sf):
+    """Coefficients of the model of all nine features."""
+    return _baseline(spark, sf)["full_coefficients"]
+
+
+@register("logit_roc_contrast")
+def logit_roc_contrast(spark, sf):
+    """Area of the model of all features against that of the stepwise model, with p."""
+    table = _baseline(spark, sf)["roc_contrast"]
+    return table.withColumn("p", chi_square_p("chi_square", F.lit(1)))
+
+
+_CONTRAST = {
+    "two": f"select a, b, y from (select {SCORE_SQL} a, cast(creatinine_max as double) b, {fv.LABEL} y from matrix_a) where a is not null and b is not null and y is not null",
+    "size": "select count(*) n, sum(y) n1, count(*) - sum(y) n0 from two",
+    "ranked": """select y, rank() over (order by a) + (count(*) over (partition by a) - 1) / 2e0 ra, rank() over (order by b) + (count(*) over (partition by b) - 1) / 2e0 rb,
+      rank() over (partition by y order by a) + (count(*) over (partition by y, a) - 1) / 2e0 oa,
+      rank() over (partition by y order by b) + (count(*) over (partition by y, b) - 1) / 2e0 ob from two""",
+    "placed": """select y, case when y = 1 then (ra - oa) / n0 else 1 - (ra - oa) / n1 end va,
+      case when y = 1 then (rb - ob) / n0 else 1 - (rb - ob) / n1 end vb from ranked, size""",
+    "spread": """select sum(case when y = 1 then ma end) area_a, sum(case when y = 1 then mb end) area_b, sum(aa / k) saa, sum(bb / k) sbb, sum(ab / k) sab
+      from (select y, count(*) k, avg(va) ma, avg(vb) mb, var_samp(va) aa, var_samp(vb) bb, covar_samp(va, vb) ab from placed group by y)""",
+}
+
+
+@register(
+    "roc_contrast",
+    with_ctes(f"""select n, cast(n1 as bigint) n_events, {r6('area_a')} area_a, {r6('area_b')} area_b, {r6('sqrt(saa)')} std_error_a, {r6('sqrt(sbb)')} std_error_b,
+      {r6('sqrt(saa + sbb - 2 * sab)')} std_error, {r6('area_a - area_b')} difference, {r6('(area_a - area_b) ** 2 / (saa + sbb - 2 * sab)')} chi_square
+      from spread, size""", _CONTRAST),
+)
+def roc_contrast(spark, sf):
+    """Areas of the fixed score and of creatinine alone, and whether they differ."""
+    return rounded(inference.roc_contrast(with_fixed_score(matrix_a(spark, sf)), "score", "creatinine_max"))
+
+
+_GIVEN = [c for c in FIXED_BETA]
+_TERMS = ["1e0", *[f"cast({c} as double)" for c in _GIVEN]]
+_ETA = " + ".join(["-1.5e0", *[f"{b}e0 * {c}" for c, b in FIXED_BETA.items()]])
+_NAMES = ["Intercept", *_GIVEN]
+
+
+@register(
+    "logit_sums_given",
+    with_ctes(" union all ".join(
+        f"select '{_NAMES[i]}' as first_term, '{_NAMES[j]}' as second_term, {r6(f'sum({_TERMS[i]} * {_TERMS[j]} * p * (1 - p)) / count(*)')} information, {r6(f'sum({_TERMS[i]} * (y - p)) / count(*)')} gradient from given"
+        for i in range(len(_NAMES)) for j in range(len(_NAMES))),
+        {"given": f"select *, {fv.LABEL} y, 1e0 / (1e0 + exp(-({_ETA}))) p from matrix_a where {fv.LABEL} is not null and " + " and ".join(f"{c} is not null" for c in _GIVEN)}),
+)
+def logit_sums_given(spark, sf):
+    """Information matrix and gradient per row of a logistic model with given coefficients."""
+    logit = newton.Logit("given", tuple(range(len(_GIVEN))))
+    rows = newton.logit_rows(matrix_a(spark, sf), _GIVEN, fv.LABEL)
+    sums = newton.sums_at(rows, logit, [-1.5, *FIXED_BETA.values()])
+    k = len(_NAMES)
+    whole = sums.agg(F.map_from_entries(F.collect_list(F.struct("place", "total"))).alias("t"))  # k * k + k + 3 numbers
+    entries = [
+        F.struct(F.lit(_NAMES[i]).alias("first_term"), F.lit(_NAMES[j]).alias("second_term"),
+                 (F.col("t")[k + i * k + j] / F.col("t")[k + k * k + 1]).alias("information"),
+                 (F.col("t")[i] / F.col("t")[k + k * k + 1]).alias("gradient"))
+        for i in range(k) for j in range(k)
+    ]
+    return rounded(whole.select(F.inline(F.array(*entries))))
+
+
 # --- models -------------------------------------------------------------------------------------------
 def _split(spark, sf):
     """Train and test rows, the split written once."""
