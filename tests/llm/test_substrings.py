@@ -97,7 +97,7 @@ class Tables:
         for rows in blocks:
             data = {"doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.binary()), "row": range(len(rows))}
             own.append(substring_dedup.Block(pa.table(data), length, buckets))
-        for (ask, answer), learn in zip(substring_dedup.STEPS, ("keep_repeated", "settle", "finish")):
+        for (ask, answer), learn in zip(substring_dedup.STEPS, ("keep_repeated", "settle", None)):
             asked = [(bucket, i, *parts) for i, b in enumerate(own) for bucket, *parts in ask(b)]
             answers = [{} for _ in own]
             for bucket in {r[0] for r in asked}:
@@ -106,7 +106,7 @@ class Tables:
                 for r, a in zip(rows, answer(pa.table(dict(zip(names, zip(*rows)))))):
                     answers[r[1]][bucket] = a
             for b, a in zip(own, answers):
-                getattr(b, learn)(a)
+                getattr(b, learn)(a) if learn else b.finish(b.state(), a)
         return sorted((tuple(r.values()) for b in own for r in b.rows.to_pylist()), key=repr)
 
 

@@ -28,6 +28,7 @@ documents hold costs one row per block.
 from __future__ import annotations
 
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -190,19 +191,34 @@ class Block:
         order = np.lexsort((self.open_place, self.open_doc, halves[:, 1], halves[:, 0], bucket))
         new = np.ones(len(order), bool)
         new[1:] = (halves[order][1:] != halves[order][:-1]).any(axis=1)
-        self.open_gone = np.ones(len(order), bool)
         self.open_first = self._by_place(order[new], bucket, self.open_doc, self.open_place)
         self.open_bucket = bucket[self.open_first]
         columns = [halves[:, 0], (halves[:, 1] & np.uint64(0xFFFFFFFF)).astype("<u4")]
         for b, start, end in _runs(self.open_bucket):
             yield b, *self._placed(columns, self.open_first[start:end], self.open_doc, self.open_place)
 
-    def finish(self, answers: dict[int, bytes]) -> None:
+    def state(self) -> bytes:
+        """What the last step needs to know of the steps before."""
+        own = self.start[self.open_doc] + self.open_place
+        repeated = np.ones(len(own), bool)  # later places of the block itself are settled here
+        repeated[self.open_first] = False
+        self.gone[own[repeated]] = True
+        runs = np.array([*_runs(self.open_bucket)], np.int64).reshape(-1, 3)
+        held = io.BytesIO()
+        np.savez_compressed(
+            held, gone=np.packbits(self.gone[: self.total]), asked=np.diff(own[self.open_first], prepend=0).astype(np.int32),
+            bucket=runs[:, 0], count=runs[:, 2] - runs[:, 1],
+        )
+        return held.getvalue()
+
+    def finish(self, state: bytes, answers: dict[int, bytes]) -> None:
         """Put one row per document, what is left of it, in ``rows``."""
-        for b, start, end in _runs(self.open_bucket):
-            self.open_gone[self.open_first[start:end]] = _bits(answers[b], end - start)
-        at = self.start[self.open_doc] + self.open_place
-        self.gone[at[self.open_gone]] = True
+        known = np.load(io.BytesIO(state))
+        self.gone = np.concatenate([np.unpackbits(known["gone"], count=self.total).astype(bool), [False]])
+        asked, start = np.cumsum(known["asked"], dtype=np.int64), 0
+        for b, n in zip(known["bucket"].tolist(), known["count"].tolist()):
+            self.gone[asked[start : start + n][_bits(answers[b], n)]] = True
+            start += n
         edge = np.zeros(self.total + 1, np.int32)
         starts = np.flatnonzero(self.gone)
         edge[starts] += 1
@@ -354,20 +370,25 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return spark.table(name)
 
 
+def _block_of(texts: pa.Table, answers: pa.Table, length: int, buckets: int) -> tuple[Block, list[dict[int, bytes]]]:
+    known: list[dict[int, bytes]] = [{} for _ in range(len(STEPS) + 1)]
+    for s, bucket, answer in zip(*(answers.column(c).to_pylist() for c in ("step", "bucket", "answer"))):
+        known[s][bucket] = answer
+    return Block(texts, length, buckets), known
+
+
 def _questions(length: int, buckets: int, step: int):
-    """(texts of a block, its answers so far) -> its next questions, or after the last step its rows."""
+    """(texts of a block, its answers so far) -> its next questions; after the last ones a row
+    with the block's state, in a bucket that does not exist."""
 
     def of(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        known: list[dict[int, bytes]] = [{} for _ in STEPS]
-        for s, bucket, answer in zip(*(answers.column(c).to_pylist() for c in ("step", "bucket", "answer"))):
-            known[s][bucket] = answer
-        block = Block(texts, length, buckets)
+        block, known = _block_of(texts, answers, length, buckets)
         asked = [*block.cover()]
         for done in range(step):
-            (block.keep_repeated, block.settle, block.finish)[done](known[done])
-            if done + 1 == len(STEPS):
-                return pa.Table.from_batches([block.rows])
+            (block.keep_repeated, block.settle)[done](known[done])
             asked = [*STEPS[done + 1][0](block)]
+        if step == len(STEPS) - 1:
+            asked.append((STATE, block.state(), b"", b""))
         number = texts.column("block")[0].as_py()
         rows = [dict(zip(_ASKED.names, (bucket, number, *parts))) for bucket, *parts in asked]
         return pa.Table.from_pylist(rows, _ASKED)
@@ -375,6 +396,18 @@ def _questions(length: int, buckets: int, step: int):
     return of
 
 
+def _finished(length: int, buckets: int):
+    """(texts of a block, its state and last answers) -> one row per document."""
+
+    def of(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        block, known = _block_of(texts, answers, length, buckets)
+        block.finish(known[len(STEPS)][STATE], known[len(STEPS) - 1])
+        return pa.Table.from_batches([block.rows])
+
+    return of
+
+
+STATE = -1
 _ASKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("asked", pa.binary()), ("owners", pa.binary()), ("places", pa.binary())])
 
 
@@ -417,12 +450,16 @@ def dedup_substrings(
     out = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     asked = "bucket int, block bigint, asked binary, owners binary, places binary"
 
-    def by_block(step: int, schema: str) -> DataFrame:
-        both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
-        return both.applyInArrow(_questions(length, buckets, step), schema)
+    def by_block(function, schema: str, answers: DataFrame) -> DataFrame:
+        return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(function, schema)
 
     for step in range(len(STEPS)):
-        dealt = by_block(step, asked).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        questions = by_block(_questions(length, buckets, step), asked, answers)
+        if step == len(STEPS) - 1:
+            questions = written(questions, "questions")  # read for the states, too
+            last = questions.filter(F.col("bucket") == STATE).select("block", F.lit(len(STEPS)).alias("step"), "bucket", F.col("asked").alias("answer"))
+        dealt = questions.filter(F.col("bucket") != STATE).repartition(buckets, "bucket").sortWithinPartitions("bucket")
         found = dealt.mapInArrow(_answered(step), "block bigint, step int, bucket int, answer binary")
         answers = answers.unionByName(written(found, "answers"))
-    return by_block(len(STEPS), out).withColumnRenamed("doc_id", id_col)
+    known = last.unionByName(answers.filter(F.col("step") == len(STEPS) - 1))
+    return by_block(_finished(length, buckets), out, known).withColumnRenamed("doc_id", id_col)
