@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import LABEL
-from .ordered import average_ranks, quantile_name, quantile_table, rank_group, running_totals, value_counts
+from .ordered import average_ranks, neighbours, quantile_name, quantile_table, rank_group, running_totals, value_counts
 
 
 def score_totals(df: DataFrame, score: str = "score", label: str = LABEL, by: list[str] = ()) -> DataFrame:
@@ -103,6 +103,18 @@ def roc_points(totals: DataFrame, score: str = "score") -> DataFrame:
     return points.unionByName(origin)
 
 
+def bending_roc_points(totals: DataFrame, score: str = "score") -> DataFrame:
+    """The points of ``roc_points`` without those on the straight line between their neighbours.
+
+    A point lies on it where the next lower score adds as many events and non-events as its
+    own; the highest and the lowest score stay.
+    """
+    beside = neighbours(totals, score, ["n", "pos"])
+    same = (F.col("lower.n") == F.col("n")) & (F.col("lower.pos") == F.col("pos"))
+    bends = F.col("higher").isNull() | F.col("lower").isNull() | ~same
+    return roc_points(beside.filter(bends).drop("lower", "higher"), score)
+
+
 def pr_points(totals: DataFrame, score: str = "score") -> DataFrame:
     """One point per distinct score plus the final point (recall 0, precision 1)."""
     points = totals.select(

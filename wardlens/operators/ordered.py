@@ -48,6 +48,41 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] = ()) -> Data
     return long.filter(F.col("value").isNotNull())
 
 
+def _in_ranges(counts: DataFrame, key: str, by: list[str], ranges: int | None = None) -> DataFrame:
+    """``counts``, written, with the number of the range of ``key`` in ``_range``."""
+    ranges = max(2, ranges or default_ranges(counts))
+    counts = written(counts, "value_counts")  # read several times, and much smaller than the rows
+    probs = [(i + 1) / ranges for i in range(ranges - 1)]
+    edges = F.percentile_approx(key, probs, SKETCH_PER_RANGE * ranges).alias("_edges")
+    if by:
+        edged = null_safe_join(counts, counts.groupBy(*by).agg(edges), by)
+    else:
+        edged = counts.withColumn("_edges", counts.agg(edges).scalar())
+    return edged.withColumn("_range", edges_below(F.col("_edges"), F.col(key), ranges)).drop("_edges")
+
+
+def neighbours(counts: DataFrame, key: str, columns: list[str], ranges: int | None = None) -> DataFrame:
+    """Add ``lower`` and ``higher``: structs of ``columns`` of the rows of next lower and higher ``key``.
+
+    Null where there is no such row.  Neighbours are found inside ranges of the key; the first
+    and last row of each range are carried to the ranges beside it.
+    """
+    ranged = _in_ranges(counts, key, [], ranges)
+    own = F.struct(*columns)
+    borders = ranged.groupBy("_range").agg(F.min_by(own, key).alias("_first"), F.max_by(own, key).alias("_last"))
+    across = W.partitionBy(F.lit(0)).orderBy("_range")  # one row per range
+    borders = borders.select("_range", F.lag("_last").over(across).alias("_below"), F.lead("_first").over(across).alias("_above"))
+    inside = W.partitionBy("_range").orderBy(key)
+    return (
+        ranged.join(borders, "_range")
+        .withColumns({
+            "lower": F.coalesce(F.lag(own).over(inside), F.col("_below")),
+            "higher": F.coalesce(F.lead(own).over(inside), F.col("_above")),
+        })
+        .drop("_range", "_below", "_above")
+    )
+
+
 def running_totals(
     counts: DataFrame, key: str, sums: list[str], by: list[str] = (), ranges: int | None = None
 ) -> DataFrame:
@@ -57,15 +92,7 @@ def running_totals(
     tables hold one row per group and range; how they are joined is left to their size.
     """
     by = list(by)
-    ranges = max(2, ranges or default_ranges(counts))
-    counts = written(counts, "value_counts")  # read three times below, and much smaller than the rows
-    probs = [(i + 1) / ranges for i in range(ranges - 1)]
-    edges = F.percentile_approx(key, probs, SKETCH_PER_RANGE * ranges).alias("_edges")
-    if by:
-        edged = null_safe_join(counts, counts.groupBy(*by).agg(edges), by)
-    else:
-        edged = counts.withColumn("_edges", counts.agg(edges).scalar())
-    ranged = edged.withColumn("_range", edges_below(F.col("_edges"), F.col(key), ranges)).drop("_edges")
+    ranged = _in_ranges(counts, key, by, ranges)
 
     per_range = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))

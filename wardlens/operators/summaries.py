@@ -189,11 +189,14 @@ def label_correlations(df: DataFrame, features: list[str] | None = None, label:
     return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c")).orderBy(F.desc("r"), "feature")
 
 
-def mann_whitney(df: DataFrame, features: list[str] | None = None, label: str = fv.LABEL) -> DataFrame:
+def mann_whitney(
+    df: DataFrame, features: list[str] | None = None, label: str = fv.LABEL, ties: bool = False
+) -> DataFrame:
     """Two-sample rank test of every feature between the labels.
 
     U of the label-0 sample, its tie-corrected normal deviate with continuity
-    correction, and both means.  Works on distinct values, all features in one pass.
+    correction, and both means; ``n_tied`` too, the number of values that occur more than
+    once, where ``ties`` is set.  Works on distinct values, all features in one pass.
     """
     features = features or fv.BASE_FEATURES
     rows = df.filter(F.col(label).isNotNull())
@@ -206,6 +209,7 @@ def mann_whitney(df: DataFrame, features: list[str] | None = None, label: str =
         F.max("total_pos").cast("double").alias("n1"),
         F.sum(neg * F.col("avg_rank")).alias("_r0"),
         F.sum(n * n * n - n).alias("_ties"),
+        F.count(F.when(F.col("n") > 1, F.lit(1))).alias("n_tied"),
         F.sum(neg * F.col("value")).alias("_sum0"),
         F.sum(F.col("pos") * F.col("value")).alias("_sum1"),
     )
@@ -222,6 +226,7 @@ def mann_whitney(df: DataFrame, features: list[str] | None = None, label: str =
         F.try_divide(F.col("_sum1"), n1).alias("mean_event"),
         u.alias("u"),
         F.try_divide(u_large - n0 * n1 / 2.0 - 0.5, spread).alias("z"),
+        *(["n_tied"] if ties else []),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric_round
-from ..operators import extract
+from ..operators import extract, sketches
 from ..sources.materialize import written
 from .oracle_ctes import CTES, r6, with_ctes
 from .registry import register, tables
@@ -83,6 +83,29 @@ def meds_a(spark, sf):
     return rounded(extract.medications_a(t, extract.cohort_a(t)))
 
 
+@register(
+    "distinct_by_sketch",
+    with_ctes("""select drug_type, count(distinct hadm_id) n_admissions, count(distinct drug) n_drugs, true as admissions_near, true as drugs_near
+      from prescriptions where startdate is not null group by drug_type"""),
+)
+def distinct_by_sketch(spark, sf):
+    """Admissions and drugs per drug type from monthly sketches, checked against the exact counts.
+
+    An estimate is near where it is within four standard errors of the exact count.
+    """
+    rows = tables(spark, sf).prescriptions.filter(F.col("startdate").isNotNull())
+    columns = ["hadm_id", "drug"]
+    partials = written(sketches.distinct_partials(rows, F.trunc("startdate", "month"), ["drug_type"], columns), "distinct_partials")
+    merged = sketches.merged_distinct(partials, ["drug_type"], columns).withColumnRenamed("drug_type", "_type")
+    exact = rows.groupBy("drug_type").agg(F.count_distinct("hadm_id").alias("n_admissions"), F.count_distinct("drug").alias("n_drugs"))
+    near = lambda estimate, n: F.abs(F.col(estimate) - F.col(n)) <= 4 * sketches.relative_error() * F.col(n)
+    joined = exact.join(merged, exact["drug_type"].eqNullSafe(merged["_type"]))
+    return joined.select(
+        "drug_type", "n_admissions", "n_drugs",
+        near("hadm_id", "n_admissions").alias("admissions_near"), near("drug", "n_drugs").alias("drugs_near"),
+    )
+
+
 @register("meds_b", _oracle("meds_b", ""))
 def meds_b(spark, sf):
     return extract.medications_b(tables(spark, sf))

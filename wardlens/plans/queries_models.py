@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.tails import chi_square_p, doubled_upper_tail_p, stars
-from ..ml import attribution, inference, models, newton
+from ..functions.tails import chi_square_p, stars, two_sided_rank_p
+from ..ml import attribution, inference, models, newton, shapley
 from ..ml import stages as st
 from ..operators import explain, metrics, summaries
 from ..operators.sampling import stratified_split
@@ -169,10 +169,10 @@ def preprocessing_chain(spark, sf):
 # --- tests with p-values ------------------------------------------------------------------------
 @register("mann_whitney_p")
 def mann_whitney_p(spark, sf):
-    """The rank test with its p-value, which is 1 where all values are tied."""
-    table = summaries.mann_whitney(matrix_a(spark, sf))
-    p = F.when(F.col("z").isNull() & (F.least("n_no_event", "n_event") > 0), F.lit(1.0)).otherwise(doubled_upper_tail_p("z"))
-    return table.withColumn("p", p).withColumn("significance", stars(F.col("p")))
+    """The rank test with its p-value: exact for small samples without ties, 1 where all values are tied."""
+    table = summaries.mann_whitney(matrix_a(spark, sf), ties=True)
+    p = two_sided_rank_p("u", "n_no_event", "n_event", "z", "n_tied")
+    return table.withColumn("p", p).withColumn("significance", stars(F.col("p"))).drop("n_tied")
 
 
 @register("hosmer_lemeshow_p")
@@ -505,8 +505,35 @@ def top_importance(spark, sf):
 
 @register("shapley_sampled")
 def shapley_sampled(spark, sf):
+    """Sampled contributions of the logistic model with their standard errors."""
     classifier, rows = _test_vectors(spark, sf)
-    return attribution.sampled_shapley(classifier, rows.select(*IDS, models.VECTOR), st.MODEL_COLUMNS, IDS)
+    return attribution.sampled_shapley(classifier, rows.select(*IDS, models.VECTOR), st.MODEL_COLUMNS, IDS, draws=16)
+
+
+def _forest_contributions(spark, sf):
+    """Exact contributions of the random forest on the test rows."""
+    _, rows = _test_vectors(spark, sf)
+    forest = _model(spark, sf, "random_forest").pipeline.stages[-1]
+    build = lambda: shapley.tree_contributions(forest, rows.select(*IDS, models.VECTOR), st.MODEL_COLUMNS, IDS)
+    return materialize(spark, "forest_contributions", sf, build)
+
+
+@register("tree_contributions")
+def tree_contributions(spark, sf):
+    """Every feature's exact contribution to the forest's probability of every test row."""
+    return _forest_contributions(spark, sf).select(*IDS, "base_value", F.inline("contributions"))
+
+
+@register("tree_explanations")
+def tree_explanations(spark, sf):
+    """The eight largest contributions to the forest's probability of every test row."""
+    return explain.top_contributions(_forest_contributions(spark, sf), IDS, 8)
+
+
+@register("tree_importance")
+def tree_importance(spark, sf):
+    """Mean absolute contribution of each feature to the forest's probability."""
+    return explain.mean_absolute(_forest_contributions(spark, sf))
 
 
 @register("model_linear_contributions")

@@ -61,6 +61,20 @@ def roc_points(spark, sf):
     return rounded(metrics.roc_points(_totals(spark, sf)))
 
 
+@register(
+    "bending_roc_points",
+    with_ctes(
+        f"""select score threshold, cast(hits as bigint) tp, cast(flagged - hits as bigint) fp, {r6('hits / pos_all')} tpr, {r6('(flagged - hits) / neg_all')} fpr from (
+          select *, lag(hits) over (order by score desc) h, lag(flagged) over (order by score desc) g,
+            lead(hits) over (order by score desc) h2, lead(flagged) over (order by score desc) g2 from points)
+        where h is null or h2 is null or hits - h <> h2 - hits or flagged - g <> g2 - flagged
+        union all select null, 0, 0, 0e0, 0e0""", SCORED),
+)
+def bending_roc_points(spark, sf):
+    """The ROC curve without points on straight stretches."""
+    return rounded(metrics.bending_roc_points(_totals(spark, sf)))
+
+
 @register(
     "pr_points",
     with_ctes(
@@ -341,6 +355,10 @@ _CONTRIB = {
       case when contribution > 0 then '{fv.DIRECTION_UP}' else '{fv.DIRECTION_DOWN}' end direction,
       case when abs(contribution) > 0.10e0 then 'high' when abs(contribution) > 0.02e0 then 'medium' else 'low' end magnitude
       from topped where rn <= 4""",
+    "listed": f"""select icustay_id, rn, feature,
+      case when contribution > 0 then '{fv.DIRECTION_UP}' else '{fv.DIRECTION_DOWN}' end direction,
+      case when abs(contribution) > 0.10e0 then 'high' when abs(contribution) > 0.02e0 then 'medium' else 'low' end magnitude
+      from topped where rn <= 8""",
 }
 
 
@@ -370,11 +388,11 @@ _ENTRY = "concat_ws(':', rn, feature, direction, magnitude)"
     "contribution_lists",
     with_ctes(f"""select m.icustay_id, {r6(f'-1.5e0 + {_BASE_VALUE}')} base_value, 'linear' as method,
       coalesce(string_agg(case when rn is not null then {_ENTRY} end, ';' order by rn), '') contributions
-      from matrix_a m left join worded w on w.icustay_id = m.icustay_id, means group by all""", _CONTRIB),
+      from matrix_a m left join listed w on w.icustay_id = m.icustay_id, means group by all""", _CONTRIB),
 )
 def contribution_lists(spark, sf):
     """One explanation per stay: base value, method, and the ordered list as text."""
-    found = explain.linear_explanations(matrix_a(spark, sf), FIXED_BETA, ["icustay_id"], 4, intercept=-1.5)
+    found = explain.linear_explanations(matrix_a(spark, sf), FIXED_BETA, ["icustay_id"], 8, intercept=-1.5)
     entry = lambda e: F.concat_ws(":", e["rank"].cast("string"), e["feature"], e["direction"], e["magnitude"])
     return rounded(found.withColumn("contributions", F.array_join(F.transform("contributions", entry), ";")))
 
