@@ -113,7 +113,7 @@ def test_parts_and_batches_lose_nothing():
 
 
 def test_tables_of_words_are_bounded(library, monkeypatch):
-    monkeypatch.setattr(bpe, "TABLE_WORDS", 10)
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 2000)
     monkeypatch.setattr(token_counts, "TABLE_PIECES", 10)
     own, counter = bpe.WordBpe(PATH), token_counts.PieceCounter(PATH, 32)
     text = " ".join(f"word{i}" for i in range(200))
@@ -121,3 +121,29 @@ def test_tables_of_words_are_bounded(library, monkeypatch):
     assert own.encode(text) == ids and len(own.table) <= 10
     assert counter.count(text) == len(ids)
     assert sys.getsizeof(own.word_table) < 10_000
+
+
+def test_long_words_in_time_and_as_the_library(library, monkeypatch):
+    """Long words go through the heap, whose ids are those of the scan and of the library."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    words = ["a" * 1_000_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "ab" * 700 + "é" * 300]
+    own = bpe.WordBpe(PATH)
+    start = time.perf_counter()
+    found = [own.encode(w) for w in words]
+    assert time.perf_counter() - start < 60
+    assert found == [plain(library, w)[0] for w in words]
+    short = ["".join(rng.choices("abct hes", k=n)).replace(" ", "e") for n in range(1, 250, 7)]
+    scanned = [own.merge(w) for w in short]
+    assert [own._merge_long(w.encode()) for w in short] == scanned
+    assert not own.table or max(map(len, own.table)) <= bpe.LONGEST_KNOWN
+
+
+def test_tables_of_words_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 2000)
+    own = bpe.WordBpe(PATH)
+    text = " ".join(f"word{i}" for i in range(500))
+    assert own.encode(text) == bpe.vocabulary(PATH).encode(text)
+    assert len(own.table) < 20 and len(own.word_table) < 20

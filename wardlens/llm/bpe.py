@@ -3,16 +3,18 @@
 A word is held as an array of part boundaries and, beside it, the merge ranks of adjacent
 parts.  The smallest rank is searched by a scan, its boundary is deleted, and the ranks of
 the two neighbours are looked up anew, until no adjacent parts merge.  Words are short, so
-scanning an array beats a heap.
+scanning an array beats a heap; only a word of more than ``LONG_WORD`` bytes, whose scans
+would take the square of its length, keeps its ranks in a heap.
 
 The vocabulary file says how a text becomes words: special strings, normalisation, the
 split pattern, bytes as visible characters and the suffix of a word's last part.  Encoded
-words are kept in a table of bounded size in each worker, as words repeat.
+words are kept in a table of bounded bytes in each worker, as words repeat; long ones are not.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from functools import cache
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import utf8
 
-TABLE_WORDS = 200_000
+TABLE_BYTES = 24 << 20  # of each table of known words, as held in memory
+LONGEST_KNOWN = 64  # characters of a word that is remembered
+LONG_WORD = 256  # bytes from which merges are found by a heap
 _NEVER = 1 << 60
 # the pattern language of the vocabulary file counts these as white space
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -62,10 +66,13 @@ class WordBpe:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.table: dict[str, tuple[int, bytes, bytes]] = {}
         self.word_table: dict[str, list[int]] = {}
+        self.table_bytes = self.word_bytes = 0
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word, by repeated deletion of the boundary of smallest rank."""
         data = word.encode()
+        if len(data) > LONG_WORD:
+            return self._merge_long(data)
         parts = [self.inner[b] for b in data[:-1]]
         parts.append(self.last[data[-1]])
         lookup = self.ranks.get
@@ -84,12 +91,47 @@ class WordBpe:
                 ranks[at] = lookup((parts[at], parts[at + 1]), none)
         return parts
 
+    def _merge_long(self, data: bytes) -> list[int]:
+        """The same for a long word: neighbours are linked, and a heap holds the ranks.
+
+        Of equal ranks the leftmost comes first, as in the scan.  An entry is stale where one
+        of its parts has been merged since.
+        """
+        parts = [self.inner[b] for b in data[:-1]]
+        parts.append(self.last[data[-1]])
+        after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
+        lookup = self.ranks.get
+        heap = []
+        for at, pair in enumerate(zip(parts, parts[1:])):
+            found = lookup(pair)
+            if found:
+                heap.append((found[0], at, *pair, found[1]))
+        heapq.heapify(heap)
+        while heap:
+            _, at, left, right, merged = heapq.heappop(heap)
+            to = after[at]
+            if parts[at] != left or to < 0 or parts[to] != right:
+                continue
+            parts[at], parts[to] = merged, -1
+            after[at] = after[to]
+            if after[to] >= 0:
+                before[after[to]] = at
+            for a, b in ((before[at], at), (at, after[at])):
+                if a >= 0 and b >= 0:
+                    found = lookup((parts[a], parts[b]))
+                    if found:
+                        heapq.heappush(heap, (found[0], a, parts[a], parts[b], found[1]))
+        return [p for p in parts if p >= 0]
+
     def _word(self, word: str) -> list[int]:
         found = self.word_table.get(word)
         if found is None:
-            if len(self.word_table) >= TABLE_WORDS:
-                self.word_table.clear()
-            found = self.word_table[word] = self.merge(word)
+            found = self.merge(word)
+            if len(word) <= LONGEST_KNOWN:
+                if self.word_bytes > TABLE_BYTES:
+                    self.word_table, self.word_bytes = {}, 0
+                self.word_table[word] = found
+                self.word_bytes += 200 + len(word) + 8 * len(found)
         return found
 
     def normalise(self, text: str) -> str:
@@ -101,10 +143,12 @@ class WordBpe:
         """(number of ids, ids as little-endian 32-bit numbers, decoded) of a text between blanks."""
         found = self.table.get(piece)
         if found is None:
-            ids = [i for w in self.words(self.normalise(piece)) for i in self._word(w)]
-            if len(self.table) >= TABLE_WORDS:
-                self.table.clear()
-            found = self.table[piece] = self.pack(ids)
+            found = self.pack([i for w in self.words(self.normalise(piece)) for i in self._word(w)])
+            if len(piece) <= LONGEST_KNOWN:
+                if self.table_bytes > TABLE_BYTES:
+                    self.table, self.table_bytes = {}, 0
+                self.table[piece] = found
+                self.table_bytes += 320 + len(piece) + len(found[1]) + len(found[2])
         return found
 
     def pack(self, ids: list[int]) -> tuple[int, bytes, bytes]:
