@@ -21,6 +21,7 @@ size that hands on one count and at most one link per row, never all pairs.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,10 +173,27 @@ def _chain(centre: np.ndarray) -> list[int]:
     return order
 
 
+def stated_cosine(a: bytes, b: bytes, kind: str) -> float:
+    """a.b / sqrt(a.a b.b) in double precision on the vectors as they are.
+
+    Sums are rounded once, and vectors are only scaled by powers of two, which is exact, so
+    that squares stay in range; the value does not depend on where the pair is compared.
+    """
+    x, y = (np.frombuffer(raw, kind).astype(float) for raw in (a, b))
+    x, y = (np.ldexp(v, -int(np.frexp(np.abs(v).max())[1])) for v in (x, y))
+    dot, xx, yy = (math.fsum(p) for p in (x * y, x * x, y * y))
+    return dot / math.sqrt(xx * yy)
+
+
 def links_in_cell(
-    index: Index, list_no: int, q: np.ndarray, m: np.ndarray, codes: np.ndarray, missed: np.ndarray, min_cosine: float
+    index: Index, list_no: int, q: np.ndarray, m: np.ndarray, codes: np.ndarray, missed: np.ndarray, min_cosine: float,
+    stated=None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) positions with exact cosine of at least ``min_cosine``."""
+    """(query, member) positions with exact cosine of at least ``min_cosine``.
+
+    Scaled rows round twice, so pairs within a rounding margin of the limit are decided by
+    ``stated``, a function of their positions.
+    """
     tables = index.tables(q)
     near = np.repeat((q @ index.centroids[list_no])[:, None], len(m), axis=1)
     for s in range(SUBSPACES):
@@ -189,6 +207,9 @@ def links_in_cell(
             part = slice(at, at + PAIRS_AT_ONCE)
             exact[part] = np.einsum("ij,ij->i", q[x[part]], m[y[part]])
     found = exact >= min_cosine
+    if stated is not None:
+        for i in np.flatnonzero(np.abs(exact - min_cosine) <= _ROUNDING):
+            found[i] = stated(x[i], y[i]) >= min_cosine
     return x[found], y[found]
 
 
@@ -253,18 +274,21 @@ def _compare(shared, shelved, min_cosine: float, kind: str):
         coded = cell.take(members)
         codes = np.frombuffer(b"".join(coded.column("codes").to_pylist()), np.uint8).reshape(len(members), SUBSPACES)
         missed = coded.column("missed").to_numpy()
-        m = unit_rows(coded.column("packed").to_pylist(), index.width, kind)
+        m_raw = coded.column("packed").to_pylist()
+        m = unit_rows(m_raw, index.width, kind)
         lists, starts = np.unique(list_of[members], return_index=True)
         ends = np.append(starts[1:], len(members))
         for at in range(0, len(visitors), VISITORS_AT_ONCE):
             block = visitors[at : at + VISITORS_AT_ONCE]
-            q = unit_rows(cell.column("packed").take(block).to_pylist(), index.width, kind)
+            q_raw = cell.column("packed").take(block).to_pylist()
+            q = unit_rows(q_raw, index.width, kind)
             allowed = shelves.allowed(index, q, list_of[block], lists, min_cosine)
             found = []
             for j, (start, end) in enumerate(zip(starts, ends)):
                 rows = np.flatnonzero(allowed[:, j])
                 if len(rows):
-                    a, b = links_in_cell(index, lists[j], q[rows], m[start:end], codes[start:end], missed[start:end], min_cosine)
+                    stated = lambda x, y, rows=rows, start=start: stated_cosine(q_raw[rows[x]], m_raw[start + y], kind)
+                    a, b = links_in_cell(index, lists[j], q[rows], m[start:end], codes[start:end], missed[start:end], min_cosine, stated)
                     found.append((block[rows[a]], members[start + b]))
             if found:
                 yield tuple(np.concatenate(side) for side in zip(*found))
