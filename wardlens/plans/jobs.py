@@ -49,7 +49,7 @@ def train_job(
     configs = {k: c for k, c in configs.items() if only is None or k in only}
     train, test = models.split(df, ids, test_share, seed)
     cv = models.cross_validate(train, ids, configs, folds, seed) if folds else None
-    results = models.train_models(train, test, ids, configs)
+    results = models.train_models(train, test, configs, ids=tuple(ids))
     if cv is not None:
         for row in models.cv_summary(cv).collect():
             results[row["model"]].cv_metrics = {k: v for k, v in row.asDict().items() if k != "model"}

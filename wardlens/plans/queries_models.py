@@ -312,7 +312,7 @@ LOGISTIC = "logistic_regression"
 def _fits(spark, sf, names: list[str]) -> dict[str, models.FittedModel]:
     train, test = _split(spark, sf)
     prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
-    return models.train_models(train, test, IDS, {n: (CONFIGS | BOOSTERS)[n] for n in names}, prep=prep)
+    return models.train_models(train, test, {n: (CONFIGS | BOOSTERS)[n] for n in names}, prep=prep, ids=tuple(IDS))
 
 
 def _model(spark, sf, name: str) -> models.FittedModel:
