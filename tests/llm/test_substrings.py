@@ -122,3 +122,20 @@ def test_pasted_stretches_in_any_block(data):
     cut = data.draw(st.integers(0, len(docs)))
     blocks = [b for b in (docs[:cut], docs[cut:]) if b]
     assert Tables.run(blocks, 100, data.draw(st.integers(1, 5))) == plain_rows(docs)
+
+
+def test_names_do_not_depend_on_the_slices(monkeypatch):
+    """Equal cover strings have equal names wherever they lie, different ones different names."""
+    import pyarrow as pa
+
+    text = b"".join(word(i).encode() for i in range(12)) * 3
+    table = pa.table({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array([text, text[7:]], pa.binary()), "row": [0, 1]})
+    names = []
+    for size in (1 << 19, 64):
+        monkeypatch.setattr(substring_dedup, "SLICE_BYTES", size)
+        block = substring_dedup.Block(table, 100, 3)
+        docs, places = block.cover_positions()
+        names.append(block.names(docs, places))
+        strings = [block.texts[d][p : p + block.sample] for d, p in zip(docs.tolist(), places.tolist())]
+        assert len({*zip(strings, names[-1].tolist())}) == len(set(strings)) == len(set(names[-1].tolist()))
+    assert (names[0] == names[1]).all()

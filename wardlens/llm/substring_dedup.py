@@ -32,6 +32,7 @@ import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,7 @@ PERIOD = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)  # every residue is a difference of two of them
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 24 << 20  # of text that one bucket stands for
+SLICE_BYTES = 1 << 19  # of a block that are named at once
 _LAST = np.iinfo(np.int64).max  # stands for a missing id: after all others
 
 
@@ -82,9 +84,23 @@ class Block:
         return np.concatenate(docs or none), np.concatenate(places or none)
 
     def names(self, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
-        digest, n, texts = xxhash.xxh3_64_intdigest, self.sample, self.texts
-        pairs = zip(docs.tolist(), places.tolist())
-        return np.fromiter((digest(texts[d][p : p + n]) for d, p in pairs), np.uint64, len(docs))
+        """A 64-bit polynomial of each cover string, from running sums over slices of the block.
+
+        Names only say which strings to look at; surroundings and suffixes have hashes of their own.
+        """
+        at, n = self.start[docs] + places, self.sample
+        whole = np.frombuffer(b"".join(self.texts), np.uint8)
+        values, power, inverse = _polynomial()
+        out = np.empty(len(at), np.uint64)
+        for low in range(0, len(whole), SLICE_BYTES):
+            r = slice(*np.searchsorted(at, [low, low + SLICE_BYTES]))
+            part = whole[low : low + SLICE_BYTES + n]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(values[part] * power[: len(part)], out=sums[1:])
+            p = at[r] - low
+            out[r] = (sums[p + n] - sums[p]) * inverse[p]
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return out ^ (out >> np.uint64(32))
 
     def cover(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
         """Distinct names of the block's cover strings, by bucket: 40 bits each, and whether
@@ -242,6 +258,20 @@ _SECOND = ("<u4", "u1", "<u8", "<u2", "<u2")  # name, surroundings, left and rig
 _THIRD = ("<u8", "<u4")  # 96 bits of the suffix
 
 
+@cache
+def _polynomial() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit value per byte, and the powers of an odd base and of its inverse."""
+    base, n = 0x9E3779B97F4A7C15, SLICE_BYTES + 4096
+    values = np.frombuffer(b"".join(hashlib.blake2b(bytes([b]), digest_size=8).digest() for b in range(256)), "<u8")
+
+    def powers(x: int) -> np.ndarray:
+        steps = np.full(n, x, np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps)
+
+    return values, powers(base), powers(pow(base, -1, 1 << 64))
+
+
 def _runs(sorted_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(key, start, end) of the runs of equal keys."""
     starts = np.flatnonzero(np.diff(sorted_keys, prepend=-1))
@@ -436,10 +466,10 @@ def dedup_substrings(
     digest of their texts, and equal ones in the order they are read; rows without an id
     come last.  Null texts are empty, texts count as UTF-8 bytes, and invalid bytes stay as
     they are.  Other columns are not looked at; an empty table gives an empty one.
-    ``length`` is at least ``PERIOD`` + 16.
+    ``length`` is at least ``PERIOD`` + 16 and at most 4096.
     """
-    if length < PERIOD + 16:
-        raise ValueError(f"strings of {length} bytes are too short for a cover of period {PERIOD}")
+    if not PERIOD + 16 <= length <= 4096:
+        raise ValueError(f"strings of {length} bytes are too short, or too long, for a cover of period {PERIOD}")
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
