@@ -244,3 +244,32 @@ def test_unlabelled_rows_and_missing_values(spark):
     scored = models.event_probability(model, prep.transform(df)).filter("a is not null and b = 1").collect()
     assert {r.a > 4: True for r in scored} == {True: True, False: True}
     assert min(r[models.PROBABILITY] for r in scored if r.a > 4) > max(r[models.PROBABILITY] for r in scored if r.a <= 4)
+
+
+def test_a_training_set_of_some_100_000_rows_is_one_block(spark):
+    """Its trees grow in tasks; a job per level of every boosted tree took longer than all the sums."""
+    rows = spark.range(70_000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).alias("y"),
+                                      F.lit(0).alias("fold"), F.xxhash64("id").alias("_key"))
+    blocks, n = trees.binned_blocks(rows, ["a"], trees.bin_edges(rows, ["a"]), "y", "fold", "_key")
+    assert n == 1 and len(blocks.first()["label"]) == 70_000
+
+
+def test_a_brother_is_what_its_parent_has_besides():
+    bins, label, fold, key = data(400)
+    rows = trees.BlockRows(record(bins, label, fold, key), fit_of("boost"))
+    used, channels = rows.channels(0)
+    x, channels = rows.x[used], [c[used] for c in channels]
+    at = 1 + (x[:, 0] > 8).astype(np.int64) + 2 * (x[:, 1] > 15)  # 1, 2: pair of one parent; 3, 4: of another
+    feats = np.tile(np.arange(K), (4, 1))
+    whole = trees.level_sums(x, at, channels, [1, 2, 3, 4], feats)
+    parents = whole.reshape(2, 2, *whole.shape[1:]).sum(axis=1)
+    assert (trees._sums_of_pairs(x, at, channels, [1, 2, 3, 4], feats, parents) == whole).all()
+    for i, node in enumerate([1, 2, 3, 4]):
+        for f in range(K):
+            assert (whole[i, f, :, 0] == np.bincount(x[at == node, f], minlength=trees.MAX_BINS)).all()
+
+
+def test_the_last_level_adds_up_one_feature():
+    growth = trees.Growth(fit_of("boost"), 0)
+    growth.level = growth.spec.depth
+    assert growth.looked_at().shape == (1, 1)
