@@ -1,10 +1,12 @@
 """Exact tree contributions, keyed permutations, thinned curves, exact rank test, sketches."""
 
+import json
 from itertools import combinations
 from math import comb, factorial
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -138,3 +140,30 @@ def test_sketches_merge_within_their_error(spark):
     some = partials.filter("month < 3")
     want = {r.g: r.v for r in df.filter("month < 3").groupBy("g").agg(F.count_distinct("v").alias("v")).collect()}
     assert {r.g: r.v for r in sketches.merged_distinct(some, ["g"], ["v"]).collect()} == pytest.approx(want, rel=4 * sketches.relative_error())
+
+
+def test_long_paths_without_a_table_of_patterns(monkeypatch):
+    rng = np.random.default_rng(2)
+    leaves, width, k = 30, 4, 6
+    paths = {
+        "value": rng.random(leaves), "width": rng.integers(0, width + 1, leaves),
+        "feature": np.array([rng.permutation(k)[:width] for _ in range(leaves)]),
+        "low": rng.normal(size=(leaves, width)) - 1, "high": rng.normal(size=(leaves, width)) + 1, "share": rng.random((leaves, width)),
+    }
+    paths["share"][rng.random((leaves, width)) < 0.1] = 0.0
+    x = rng.normal(size=(70, k))
+    table = shapley.contributions(x, paths)
+    monkeypatch.setattr(shapley, "TABLE_WIDTH", 1)
+    assert np.allclose(shapley.contributions(x, paths), table, atol=1e-12)
+
+
+def test_contributions_of_one_file_are_many_tasks(spark):
+    nodes = {"feature": [0, -1, -1], "threshold": [0.5, 0.0, 0.0], "left": [1, -1, -1], "value": [0.3, 0.1, 0.7], "cover": [4.0, 2.0, 2.0],
+             "gain": [1.0, 0.0, 0.0], "roots": [0], "features": 1, "boosted": False, "start": 0.0}
+    model = trees.TreeEnsembleModel()
+    model._set(featuresCol="features", ensemble=json.dumps(nodes))
+    rows = spark.range(100).select(F.col("id").alias("icustay_id"), array_to_vector(F.array(F.col("id") % 2 * 1.0)).alias("features")).coalesce(1)
+    found = shapley.tree_contributions(model, rows, ["a"], ["icustay_id"])
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+    got = {(r["icustay_id"] % 2, round(r["contributions"][0]["contribution"], 9)) for r in found.collect()}
+    assert got == {(0, -0.3), (1, 0.3)}
