@@ -273,3 +273,26 @@ def test_the_last_level_adds_up_one_feature():
     growth = trees.Growth(fit_of("boost"), 0)
     growth.level = growth.spec.depth
     assert growth.looked_at().shape == (1, 1)
+
+
+def test_a_training_set_of_600_000_rows_is_one_block(spark):
+    """Six times sf0.1: by a job per level, 300 boosted trees of it took more than 1,500 jobs."""
+    rows = spark.range(600_000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).alias("y"),
+                                       F.lit(0).alias("fold"), F.xxhash64("id").alias("_key"))
+    blocks, n = trees.binned_blocks(rows, ["a"], trees.bin_edges(rows, ["a"]), "y", "fold", "_key")
+    assert n == 1 and len(blocks.first()["label"]) == 600_000
+
+
+@pytest.mark.parametrize("name", ["forest", "second"])
+def test_sums_do_not_depend_on_how_nodes_are_taken(name, monkeypatch):
+    """Node by node or all nodes of a level together, from rows per node or nodes per row."""
+    bins, label, fold, key = data(500)
+    rows = trees.BlockRows(record(bins, label, fold, key), fit_of(name, -1))
+    _, channels = rows.channels(0)
+    at = (rows.x[:, 0] > 8).astype(np.int64) + 2 * (rows.x[:, 1] > 15)
+    feats = np.array([[0, 2], [1, 4], [0, 3], [2, 3]])
+    found = []
+    for few in (0, 1 << 30):
+        monkeypatch.setattr(trees, "FEW_ROWS", few)
+        found += [trees.level_sums(rows.x, a, channels, [0, 1, 2, 3], feats) for a in (at, [np.flatnonzero(at == i) for i in range(4)])]
+    assert all((f == found[0]).all() for f in found) and found[0][..., 0].sum() == 2 * 500
