@@ -147,3 +147,12 @@ def test_tables_of_words_are_bounded_by_bytes(monkeypatch):
     text = " ".join(f"word{i}" for i in range(500))
     assert own.encode(text) == bpe.vocabulary(PATH).encode(text)
     assert len(own.table) < 20 and len(own.word_table) < 20
+
+
+def test_words_met_again_are_still_known():
+    """100,000 different words fit into the tables of a worker, which were emptied again and again before."""
+    coder = bpe.WordBpe(PATH)
+    words = [f"w{i}x" for i in range(100_000)]
+    for word in words:
+        coder._piece(word)
+    assert all(word in coder.table for word in words)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import utf8
 
-TABLE_BYTES = 24 << 20  # of each table of known words, as held in memory
+TABLE_BYTES = 96 << 20  # of each table of known words, as held in memory; at 24 MB a corpus refilled them again and again
 LONGEST_KNOWN = 64  # characters of a word that is remembered
 LONG_WORD = 256  # bytes from which merges are found by a heap
 _NEVER = 1 << 60
