@@ -111,3 +111,32 @@ def test_histogram_counts_every_value_once(spark):
     assert h.agg(F.sum("n")).first()[0] == 71 and h.count() == 10
     area = h.groupBy(fv.LABEL).agg(F.sum(F.col("density") * (F.col("bin_to") - F.col("bin_from"))).alias("a")).collect()
     assert [r.a for r in area] == pytest.approx([1.0, 1.0])
+
+
+def test_rows_without_duplicates_are_made_once(spark, matrix):
+    """Fences, caps and result read one written table; each made the rows anew before."""
+    plan = cleaning.clean(matrix, "keep")._jdf.queryExecution().optimizedPlan().toString()
+    assert "valid_rows" in str(cleaning.clean(matrix, "keep").inputFiles()) and "_first" not in plan
+
+
+def test_bounds_are_fields_not_entries_of_a_map(spark, matrix):
+    from wardlens.operators.ordered import as_fields, quantile_table
+
+    table = quantile_table(matrix, ["age", "wbc_mean"], [25, 75], "averaged")
+    got = spark.range(1).select(as_fields(table, ["age", "wbc_mean", "none"]).alias("b")).select("b.*").first()
+    want = {r["feature"]: (r["n"], r["q25"], r["q75"]) for r in table.collect()}
+    assert (tuple(got["age"]), tuple(got["wbc_mean"]), got["none"]) == (want["age"], want["wbc_mean"], None)
+
+
+def test_scans_are_cut_into_small_parts_and_never_into_larger_ones(spark):
+    from wardlens import session
+
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for given, want in (("128m", session.SCAN_BYTES), ("16m", 16 << 20)):
+            spark.conf.set(name, given)
+            session._TUNED.clear()
+            session.tune(spark)
+            assert session._bytes(spark, spark.conf.get(name)) == want
+    finally:
+        spark.conf.set(name, before)

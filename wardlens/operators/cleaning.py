@@ -9,7 +9,7 @@ from .. import fixed_values as fv
 from ..functions import as_long, clip
 from ..functions.bands import age_group, flag, heart_rate_category, stay_category
 from ..sources.materialize import written
-from .ordered import as_lookup, quantile_table
+from .ordered import as_fields, quantile_table
 from .skew import null_safe_join
 
 COMPLETE_CASE_COLUMNS = [*fv.BASE_FEATURES, fv.LABEL]
@@ -104,7 +104,7 @@ def drop_outliers(df: DataFrame, missing_policy: str = "reference", fences: Data
         "wbc_mean": (F.lit(0.0), F.least(at("wbc_mean", "fence_high"), F.lit(150.0))),
     }
     missing_passes = F.lit(missing_policy == "keep")
-    out = df.withColumn("_fences", as_lookup(fences))
+    out = df.withColumn("_fences", as_fields(fences, list(limits)))
     for column, (low, high) in limits.items():
         out = out.filter(F.coalesce(F.col(column).between(low, high), missing_passes))
     return out.drop("_fences")
@@ -182,7 +182,7 @@ def winsorize(df: DataFrame, percents: dict[str, tuple[float, float]] | None = N
     """
     percents = percents or fv.WINSORIZE_PERCENT
     wanted = sorted({p for pair in percents.values() for p in pair})
-    caps = as_lookup(quantile_table(df, list(percents), wanted, "averaged"))
+    caps = as_fields(quantile_table(df, list(percents), wanted, "averaged"), list(percents))
     name = lambda p: "q" + f"{p:g}".replace(".", "_")
     out = df.withColumn("_caps", caps)
     bound = lambda c, p: F.col("_caps")[c][name(p)]
@@ -198,7 +198,9 @@ def complete_cases(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def clean(matrix: DataFrame, missing_policy: str = "reference") -> DataFrame:
-    """The whole cleaning chain, from raw matrix to model-ready table."""
-    valid = valid_ranges_only(dedup_keep(matrix))
+    """The whole cleaning chain, from raw matrix to model-ready table.
+
+    The fences, the caps and the result all read the rows without duplicates, so these are written."""
+    valid = written(valid_ranges_only(dedup_keep(matrix)), "valid_rows")
     kept = drop_outliers(valid, missing_policy)
     return complete_cases(winsorize(clinical_columns(impute_rules(kept))))
