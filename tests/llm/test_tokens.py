@@ -156,3 +156,26 @@ def test_words_met_again_are_still_known():
     for word in words:
         coder._piece(word)
     assert all(word in coder.table for word in words)
+
+
+def test_common_words_stay_known_among_many_rare_ones(monkeypatch):
+    """Full tables were emptied whole, so that every common word was encoded anew."""
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 50_000)
+    coder, merged = bpe.WordBpe(PATH), []
+    merge = coder.merge
+    monkeypatch.setattr(coder, "merge", lambda word: merged.append(word) or merge(word))
+    for i in range(2000):
+        coder.encode(f"common rare{'x' * (i % 40)}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}")
+    assert merged.count("common") == 1 and len(merged) > 1500
+
+
+def test_tables_of_words_hold_few_bytes():
+    """The four tables of a worker hold at most some 100 MB; they took twice that."""
+    coder = bpe.WordBpe(PATH)
+    before = coder.table_bytes
+    for i in range(1000):
+        coder._piece(f"word{i}")
+    tables = (coder.table, coder.word_table)
+    held = sum(sys.getsizeof(t) for t in tables) + sum({id(o): sys.getsizeof(o) for t in tables for kv in t.items() for o in kv}.values())
+    assert held <= coder.table_bytes - before + coder.word_bytes
+    assert 4 * bpe.TABLE_BYTES <= 100 << 20

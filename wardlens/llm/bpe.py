@@ -8,7 +8,9 @@ would take the square of its length, keeps its ranks in a heap.
 
 The vocabulary file says how a text becomes words: special strings, normalisation, the
 split pattern, bytes as visible characters and the suffix of a word's last part.  Encoded
-words are kept in a table of bounded bytes in each worker, as words repeat; long ones are not.
+words are kept in tables of bounded bytes in each worker, as words repeat; long ones are not.
+A full table becomes the older one and takes the older one's place, and words that are met
+again move on, so that common words are not forgotten with the rare ones.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import utf8
 
-TABLE_BYTES = 96 << 20  # of each table of known words, as held in memory; at 24 MB a corpus refilled them again and again
+TABLE_BYTES = 20 << 20  # of each of the four tables of known words, as held in memory
+ENTRY_BYTES = 170  # of an entry besides its characters and ids
 LONGEST_KNOWN = 64  # characters of a word that is remembered
 LONG_WORD = 256  # bytes from which merges are found by a heap
 _NEVER = 1 << 60
@@ -64,8 +67,11 @@ class WordBpe:
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE)
         self.words = regex.compile(split).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.table: dict[str, tuple[int, bytes, bytes]] = {}
-        self.word_table: dict[str, list[int]] = {}
+        # ids of texts between blanks, and of words, as little-endian 32-bit numbers
+        self.table: dict[str, bytes] = {}
+        self.word_table: dict[str, bytes] = {}
+        self.older_table: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.table_bytes = self.word_bytes = 0
 
     def merge(self, word: str) -> list[int]:
@@ -123,15 +129,17 @@ class WordBpe:
                         heapq.heappush(heap, (found[0], a, parts[a], parts[b], found[1]))
         return [p for p in parts if p >= 0]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         found = self.word_table.get(word)
         if found is None:
-            found = self.merge(word)
+            found = self.older_words.get(word)
+            if found is None:
+                found = self.pack(self.merge(word))
             if len(word) <= LONGEST_KNOWN:
                 if self.word_bytes > TABLE_BYTES:
-                    self.word_table, self.word_bytes = {}, 0
+                    self.older_words, self.word_table, self.word_bytes = self.word_table, {}, 0
                 self.word_table[word] = found
-                self.word_bytes += 200 + len(word) + 8 * len(found)
+                self.word_bytes += ENTRY_BYTES + len(word) + len(found)
         return found
 
     def normalise(self, text: str) -> str:
@@ -139,23 +147,27 @@ class WordBpe:
         text = unicodedata.normalize("NFC", text)
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
-    def _piece(self, piece: str) -> tuple[int, bytes, bytes]:
-        """(number of ids, ids as little-endian 32-bit numbers, decoded) of a text between blanks."""
+    def _piece(self, piece: str) -> bytes:
+        """Packed ids of a text between blanks."""
         found = self.table.get(piece)
         if found is None:
-            found = self.pack([i for w in self.words(self.normalise(piece)) for i in self._word(w)])
+            found = self.older_table.get(piece)
+            if found is None:
+                words = self.words(self.normalise(piece))
+                # a piece that is one word shares its characters and ids with the table of words
+                found = self._word(piece) if words == [piece] else b"".join([*map(self._word, words)])
             if len(piece) <= LONGEST_KNOWN:
                 if self.table_bytes > TABLE_BYTES:
-                    self.table, self.table_bytes = {}, 0
+                    self.older_table, self.table, self.table_bytes = self.table, {}, 0
                 self.table[piece] = found
-                self.table_bytes += 320 + len(piece) + len(found[1]) + len(found[2])
+                self.table_bytes += ENTRY_BYTES + len(piece) + len(found)
         return found
 
-    def pack(self, ids: list[int]) -> tuple[int, bytes, bytes]:
-        return len(ids), np.array(ids, "<u4").tobytes(), " ".join(map(self.names.__getitem__, ids)).encode()
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, "<u4").tobytes()
 
-    def pieces(self, text: str) -> list[tuple[int, bytes, bytes]]:
-        """The text in packed pieces.  Blanks and line breaks never lie inside a word, and no
+    def pieces(self, text: str) -> list[bytes]:
+        """Packed ids of the text's pieces.  Blanks and line breaks never lie inside a word, and no
         composition reaches across them, so they are safe places to cut."""
         if self.specials is None or "<|" not in text:
             return [*map(self._piece, text.split(" "))] if "\n" not in text else [*map(self._piece, text.replace("\n", " ").split(" "))]
@@ -167,12 +179,19 @@ class WordBpe:
                 out += map(self._piece, part.replace("\n", " ").split(" "))
         return out
 
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit numbers."""
+        return b"".join(self.pieces(text))
+
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(p[1] for p in self.pieces(text)), "<u4").tolist()
+        return self.unpack(self.packed(text))
+
+    def unpack(self, packed: bytes) -> list[int]:
+        return np.frombuffer(packed, "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The parts' names with a blank between them, as the vocabulary has no decoder."""
-        return " ".join(self.names[i] for i in ids)
+        return " ".join(map(self.names.__getitem__, ids))
 
     def text_of(self, ids: list[int]) -> str:
         """Words back from ids: bytes of the parts, a blank where a word ends."""
@@ -207,10 +226,9 @@ def encode_column(text: Column | str, path: str) -> Column:
         bpe = vocabulary(path)
         n, ids, decoded = [], [], []
         for text in texts.to_pylist():
-            pieces = [p for p in bpe.pieces(text.decode()) if p[0]]
-            n.append(sum(p[0] for p in pieces))
-            ids.append(b"".join([p[1] for p in pieces]))
-            decoded.append(b" ".join([p[2] for p in pieces]).decode())
+            ids.append(bpe.packed(text.decode()))
+            n.append(len(ids[-1]) // 4)
+            decoded.append(bpe.decode(bpe.unpack(ids[-1])))
         arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
         return pa.StructArray.from_arrays(arrays, ["n_tokens", "ids", "decoded"])
 
@@ -226,11 +244,10 @@ def digest_column(text: Column | str, path: str, keep_ids: bool = False) -> Colu
         bpe = vocabulary(path)
         n, digests, decoded, kept = [], [], [], []
         for text in texts.to_pylist():
-            pieces = [p for p in bpe.pieces(text.decode()) if p[0]]
-            ids = b"".join([p[1] for p in pieces])
+            ids = bpe.packed(text.decode())
             n.append(len(ids) // 4)
             digests.append(hashlib.sha256(ids).hexdigest())
-            decoded.append(hashlib.sha256(b" ".join([p[2] for p in pieces])).hexdigest())
+            decoded.append(hashlib.sha256(bpe.decode(bpe.unpack(ids)).encode()).hexdigest())
             kept.append(ids if keep_ids else None)
         arrays = [pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (digests, decoded)), pa.array(kept, pa.binary())]
         return pa.StructArray.from_arrays(arrays, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
