@@ -135,3 +135,36 @@ def test_linear_model_scores_and_saves(spark, rows, tmp_path):
     got = models.event_probability(loaded, vectors).select(models.PROBABILITY, inference.probability(inference.linear_score(fit, ["a", "b", "c"]))).collect()
     assert [r[0] for r in got] == pytest.approx([r[1] for r in got])
     assert list(loaded.coefficients) == fit.beta[1:].tolist()
+
+
+def test_packed_rows_give_the_same_fits(rows, monkeypatch):
+    """Blocks hold every row once, folds and missing values included."""
+    monkeypatch.setattr(newton, "BLOCK_ROWS", 7)
+    holes = rows.withColumn("b", F.when(F.col("icustay_id") % 9 > 0, F.col("b")))
+    made = holes.select(F.array("a", "b", "c").alias("x"), F.col(fv.LABEL).alias("y"), "fold")
+    packed = newton.packed_rows(made)
+    assert made.count() > packed.count() >= 400 / 7
+    logits = [newton.Logit("all", (0, 1, 2)), newton.Logit("out", (0, 2), tested=(1,), fold=1, balanced=True, ridge=2.0)]
+    for one, two in zip(newton.fit_logits(made, logits), newton.fit_logits(packed, logits)):
+        assert one.beta == pytest.approx(two.beta, abs=1e-12) and (one.n, one.n_events) == (two.n, two.n_events)
+        assert one.information == pytest.approx(two.information, rel=1e-9)
+
+
+def test_stepwise_takes_few_passes(rows, monkeypatch):
+    """A step's fit starts at the coefficients of the one before; each began at zero."""
+    passes, sums = [], newton._sums
+    monkeypatch.setattr(newton, "_sums", lambda *a: passes.append(1) or sums(*a))
+    columns = ["a", "b", "c"]
+    fit, chosen, _ = inference.stepwise_logit(rows, columns)
+    warm = len(passes)
+    cold = newton.fit_logits(newton.logit_rows(rows, columns, fv.LABEL), [newton.Logit("m", tuple(map(columns.index, chosen)))])[0]
+    assert fit.beta == pytest.approx(cold.beta, abs=1e-9)
+    assert warm <= 5 * (1 + len(chosen))
+
+
+def test_a_table_of_the_baseline_is_made_when_asked_for(rows, monkeypatch):
+    """The steps need no goodness of fit and no contrast; every query made all tables."""
+    monkeypatch.setattr(inference.metrics, "hosmer_lemeshow", lambda *a: pytest.fail("not asked for"))
+    monkeypatch.setattr(inference, "roc_contrast", lambda *a: pytest.fail("not asked for"))
+    tables = inference.baseline_tables(rows, ["a", "b", "c"])
+    assert tables["steps"]().count() >= 1 and tables["classification"]().count() == 1

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from .. import fixed_values as fv
 from ..functions.tails import normal_two_sided
 from ..operators import metrics
 from ..sources.materialize import written
-from .newton import Logit, LogitFit, fit_logits, logit_rows
+from .newton import Logit, LogitFit, fit_logits, logit_rows, packed_rows
 
 Z95 = 1.959964
 
@@ -36,7 +38,7 @@ COEFFICIENTS = (
 def univariate_odds_ratios(df: DataFrame, features: list[str] | None = None, label: str = fv.LABEL) -> DataFrame:
     """Odds ratio with 95% Wald limits of each feature on its own, all fits in the same passes."""
     features = features or fv.BASE_FEATURES
-    rows = written(logit_rows(df, features, label), "logit_rows")
+    rows = packed_rows(logit_rows(df, features, label))
     fits = fit_logits(rows, [Logit(c, (i,)) for i, c in enumerate(features)])
     found = [coefficient_rows(fit, [fit.logit.key])[0] for fit in fits]
     table = [(r[0], fv.ODDS_RATIO_LABELS.get(r[0], r[0]), *r[5:]) for r in found]
@@ -44,6 +46,17 @@ def univariate_odds_ratios(df: DataFrame, features: list[str] | None = None, lab
     return df.sparkSession.createDataFrame(table, schema)
 
 
+def complete_rows(df: DataFrame, features: list[str], label: str = fv.LABEL) -> DataFrame:
+    """The rows that have every feature and the label, written in blocks for ``fit_logits``."""
+    return packed_rows(logit_rows(df.na.drop(subset=[*features, label]), features, label))
+
+
+def started(fit: LogitFit, columns: tuple[int, ...]) -> np.ndarray:
+    """First coefficients of ``columns``: those of ``fit``, and zero for the columns it does not have."""
+    known = dict(zip(fit.logit.columns, fit.beta[1:]))
+    return np.array([fit.beta[0], *(known.get(c, 0.0) for c in columns)])
+
+
 # --- stepwise selection --------------------------------------------------------------
 def stepwise_logit(
     df: DataFrame,
@@ -51,19 +64,21 @@ def stepwise_logit(
     enter: float = 0.05,
     stay: float = 0.10,
     label: str = fv.LABEL,
+    rows: DataFrame | None = None,
 ):
     """Enter by score test, leave by Wald test.  Returns (fit, chosen, history rows).
 
-    The passes that fit a step's model also take the score tests of the next one.
+    The passes that fit a step's model also take the score tests of the next one, and a step's
+    fit starts at the coefficients of the one before.  ``rows`` are the ``complete_rows`` where
+    they are there already.
     """
     features = features or fv.BASE_FEATURES
-    complete = df.na.drop(subset=[*features, label])
-    rows = written(logit_rows(complete, features, label), "logit_rows")
+    rows = complete_rows(df, features, label) if rows is None else rows
     place = {c: i for i, c in enumerate(features)}
 
-    def fitted(chosen: list[str]) -> LogitFit:
-        rest = [c for c in features if c not in chosen]
-        return fit_logits(rows, [Logit("step", tuple(place[c] for c in chosen), tuple(place[c] for c in rest))])[0]
+    def fitted(chosen: list[str], before: LogitFit | None = None) -> LogitFit:
+        inside, rest = tuple(place[c] for c in chosen), tuple(place[c] for c in features if c not in chosen)
+        return fit_logits(rows, [Logit("step", inside, rest)], starts=before and [started(before, inside)])[0]
 
     chosen: list[str] = []
     fit = fitted(chosen)
@@ -77,14 +92,14 @@ def stepwise_logit(
             break
         chosen = [*chosen, best]
         history.append((len(history) + 1, "enter", best, tests[best], p))
-        fit = fitted(chosen)
+        fit = fitted(chosen, fit)
         while chosen:
             worst = max(coefficient_rows(fit, chosen)[:-1], key=lambda r: r[4])
             if worst[4] < stay:
                 break
             chosen = [c for c in chosen if c != worst[0]]
             history.append((len(history) + 1, "remove", worst[0], worst[3] ** 2, worst[4]))
-            fit = fitted(chosen)
+            fit = fitted(chosen, fit)
         state = tuple(sorted(chosen))
         if state in seen:  # the same set again: entering and leaving would alternate
             break
@@ -196,27 +211,34 @@ def roc_contrast(df: DataFrame, first: str, second: str, label: str = fv.LABEL)
     return areas.withColumn("chi_square", F.try_divide(F.col("difference") ** 2, F.col("std_error") ** 2))
 
 
-def baseline_model(df: DataFrame, features: list[str] | None = None) -> dict[str, DataFrame]:
-    """Stepwise model of the cleaned table: coefficients, steps, fit statistics and scores, its
-    goodness of fit, association and classification, and its contrast with the model of all features."""
+def baseline_tables(df: DataFrame, features: list[str] | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The tables of ``baseline_model``, each made when it is asked for; only the two fits are made at once."""
     spark = df.sparkSession
     features = features or fv.BASE_FEATURES
-    fit, chosen, history = stepwise_logit(df, features)
+    rows = complete_rows(df, features)
+    fit, chosen, history = stepwise_logit(df, features, rows=rows)
     steps = spark.createDataFrame(history, "step int, action string, variable string, chi_square double, p double")
     if fit is None:
-        return {"steps": steps}
+        return {"steps": lambda: steps}
+    every = tuple(range(len(features)))
+    full = fit_logits(rows, [Logit("full", every)], starts=[started(fit, every)])[0]
     complete = df.na.drop(subset=[*features, fv.LABEL])
-    full = fit_logits(written(logit_rows(complete, features, fv.LABEL), "logit_rows"), [Logit("full", tuple(range(len(features))))])[0]
     scored = df.withColumn("pred_prob", probability(linear_score(fit, chosen)))
     both = complete.select(fv.LABEL, linear_score(fit, chosen).alias("stepwise"), linear_score(full, features).alias("full"))
     return {
-        "steps": steps,
-        "coefficients": spark.createDataFrame(coefficient_rows(fit, chosen), COEFFICIENTS),
-        "full_coefficients": spark.createDataFrame(coefficient_rows(full, features), COEFFICIENTS),
-        "fit_statistics": spark.createDataFrame(fit_statistics(fit, fit.n, len(chosen)), FIT_STATISTICS),
-        "predictions": scored,
-        "goodness_of_fit": metrics.hosmer_lemeshow(scored.filter("pred_prob is not null"), "pred_prob"),
-        "association": metrics.concordance(metrics.score_totals(scored, "pred_prob")),
-        "classification": classification_table(complete, fit, chosen),
-        "roc_contrast": roc_contrast(both, "full", "stepwise"),
+        "steps": lambda: steps,
+        "coefficients": lambda: spark.createDataFrame(coefficient_rows(fit, chosen), COEFFICIENTS),
+        "full_coefficients": lambda: spark.createDataFrame(coefficient_rows(full, features), COEFFICIENTS),
+        "fit_statistics": lambda: spark.createDataFrame(fit_statistics(fit, fit.n, len(chosen)), FIT_STATISTICS),
+        "predictions": lambda: scored,
+        "goodness_of_fit": lambda: metrics.hosmer_lemeshow(scored.filter("pred_prob is not null"), "pred_prob"),
+        "association": lambda: metrics.concordance(metrics.score_totals(scored, "pred_prob")),
+        "classification": lambda: classification_table(complete, fit, chosen),
+        "roc_contrast": lambda: roc_contrast(both, "full", "stepwise"),
     }
+
+
+def baseline_model(df: DataFrame, features: list[str] | None = None) -> dict[str, DataFrame]:
+    """Stepwise model of the cleaned table: coefficients, steps, fit statistics and scores, its
+    goodness of fit, association and classification, and its contrast with the model of all features."""
+    return {name: make() for name, make in baseline_tables(df, features).items()}
