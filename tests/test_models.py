@@ -184,3 +184,25 @@ def test_importance_proxy_and_vectors(spark, trained):
     assert explain.importance_proxy(rows, imp, ["icustay_id"], 8).count() == 8
     assert rows.select(F.size(vector_to_array(models.VECTOR)).alias("n")).first().n == 26
     assert scoring.with_scoring_defaults(spark.range(1)).first().heart_rate_mean == 88.0
+
+
+def test_folds_and_final_trees_are_grown_side_by_side(spark, monkeypatch, tmp_path):
+    """Each waits for the other; one after the other, the boosted trees of the final fit kept one core of many."""
+    from threading import Barrier
+
+    from wardlens.plans import queries_models
+
+    both = Barrier(2, timeout=20)
+    summary = "model string, fold int, roc_auc double, avg_precision double, precision double, recall double, f1 double"
+    rows = [(name, 0, 0.5, 0.5, 0.5, 0.5, 0.5) for name in queries_models.CONFIGS]
+    monkeypatch.setattr(queries_models, "_split", lambda *a: (None, None))
+
+    def fits(spark, sf, names):
+        if queries_models.LOGISTIC not in names:
+            both.wait()
+        return {n: models.FittedModel(n, None, "", 0.5, 0.5, 0.5) for n in names}
+
+    monkeypatch.setattr(queries_models, "_fits", fits)
+    monkeypatch.setattr(models, "cross_validate", lambda *a, **k: both.wait() >= 0 and spark.createDataFrame(rows, summary))
+    found = queries_models._compared(spark, str(tmp_path))
+    assert {n: m.cv_metrics["cv_roc_auc_mean"] for n, m in found.items()} == dict.fromkeys(queries_models.CONFIGS, 0.5)
