@@ -206,3 +206,18 @@ def test_folds_and_final_trees_are_grown_side_by_side(spark, monkeypatch, tmp_pa
     monkeypatch.setattr(models, "cross_validate", lambda *a, **k: both.wait() >= 0 and spark.createDataFrame(rows, summary))
     found = queries_models._compared(spark, str(tmp_path))
     assert {n: m.cv_metrics["cv_roc_auc_mean"] for n, m in found.items()} == dict.fromkeys(queries_models.CONFIGS, 0.5)
+
+
+def test_evaluation_tables_do_not_wait_for_the_importance(spark, monkeypatch, tmp_path):
+    """Only the importance query permutes columns; every evaluation query did."""
+    from wardlens.plans import queries_models
+
+    best = models.FittedModel("m", PipelineModel(stages=[]), "", 0.5, 0.5, 0.5)
+    monkeypatch.setattr(queries_models, "_compared", lambda *a: {"m": best})
+    monkeypatch.setattr(queries_models, "_split", lambda *a: (None, spark.range(1)))
+    scored = spark.createDataFrame([(i, i % 2, i / 10) for i in range(10)], f"icustay_id bigint, {fv.LABEL} int, score double")
+    monkeypatch.setattr(jobs, "score_column", lambda *a: scored)
+    monkeypatch.setattr(jobs.attribution, "permutation_importance", lambda *a: pytest.fail("not asked for"))
+    assert queries_models.evaluation_metrics(spark, str(tmp_path)).count() == 1
+    monkeypatch.setattr(jobs, "importance_table", lambda *a: "importance")
+    assert queries_models.evaluation_importance(spark, str(tmp_path)) == "importance"
