@@ -296,3 +296,51 @@ def test_sums_do_not_depend_on_how_nodes_are_taken(name, monkeypatch):
         monkeypatch.setattr(trees, "FEW_ROWS", few)
         found += [trees.level_sums(rows.x, a, channels, [0, 1, 2, 3], feats) for a in (at, [np.flatnonzero(at == i) for i in range(4)])]
     assert all((f == found[0]).all() for f in found) and found[0][..., 0].sum() == 2 * 500
+
+
+def test_large_nodes_are_added_up_by_joint_tables_to_the_same_sums():
+    bins, label, fold, key = data(9000)
+    feats = np.array([[0, 1, 3], [1, 2, 4]])
+    for name in SPECS:
+        rows = trees.BlockRows(record(bins, label, fold, key), fit_of(name))
+        used, channels = rows.channels(0)
+        stand = [r[used[r]] for r in np.array_split(np.arange(len(rows.x)), [5500])]
+        columns = np.ascontiguousarray(rows.x.T)
+        want = trees._sums(columns, stand, channels, feats, False)
+        assert (trees.level_sums(rows.x, stand, channels, [1, 2], feats, False, rows.bins) == want).all()
+        same = feats[[0, 0]]
+        joint = rows.joint(same[0])
+        assert len(joint) < 3
+        want = trees._sums(columns, stand, channels, same, True)
+        assert (trees.level_sums(rows.x, stand, channels, [1, 2], same, True, rows.bins, joint) == want).all()
+
+
+def test_scores_move_alike_by_known_leaves():
+    bins, label, fold, key = data(9000)
+    for name in ("boost", "second", "leaves"):
+        known, plain = (trees.BlockRows(record(bins, label, fold, key), fit_of(name)) for _ in range(2))
+        for number in range(3):
+            leaves = []
+            known.add(trees.grow_in_block(known, number, leaves), leaves)
+            plain.add(trees.grow_in_block(plain, number))
+            assert (known.score == plain.score).all()
+
+
+def test_series_do_not_depend_on_the_fits_beside(spark):
+    bins, label, fold, key = data()
+    schema = "bins binary, label binary, fold binary, key binary"
+    block = spark.createDataFrame([tuple(map(bytearray, record(bins, label, fold, key).values()))], schema)
+    beside = trees.grow(block, 1, [fit_of("boost"), fit_of("extra")])["extra", 1]
+    alone = trees.replace(fit_of("extra"), spec=trees.replace(SPECS["extra"], series=1))
+    assert [t.to_dict() for t in trees.grow(block, 1, [alone])["extra", 1]] == [t.to_dict() for t in beside]
+
+
+def test_a_query_fits_no_other_model(monkeypatch, tmp_path, spark):
+    from wardlens.plans import queries_models as q
+
+    fitted = []
+    monkeypatch.setattr(q, "_fits", lambda spark, sf, names: fitted.append(names) or {n: n for n in names})
+    assert q._model(spark, str(tmp_path), "extra_trees") == "extra_trees"
+    assert list(q._models(spark, str(tmp_path), q.TREES)) == q.TREES
+    assert fitted == [["extra_trees"], ["random_forest", "gradient_boosting"]]
+    assert [q._config(n).trees.series for n in (*q.TREES, *q.BOOSTERS)] == [0, 1, 2, 0, 1]

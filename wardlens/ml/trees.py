@@ -18,7 +18,7 @@ not depend on how the rows are cut into blocks.
   tasks that each hold the block and some of the trees, so that a level is no job.
 
 Bootstrap counts, row samples, the features a node looks at and random cuts are hashes of
-(seed, fit, tree, node, row), so a lost task grows the same tree again.
+(seed, series, tree, node, row), so a lost task grows the same tree again.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ LEVEL_TREES = 64  # whose sums one job adds up, where there are many blocks
 SETTLE_TREES = 10  # boosted trees after which the scores of the rows are written
 PACK = 26  # bits of a count that is added up beside another one
 FEW_ROWS = 512  # a node, below which the nodes of a level are added up together
+JOINT = 1 << 12  # cells of the table in which a node's features are counted together
 _EPS = 1e-12
 
 
@@ -63,6 +64,7 @@ class TreeSpec:
     boosted tree.  ``second_order`` gains use gradient and hessian sums with ``l2``; otherwise
     the friedman form on residuals.  ``max_leaves`` keeps the leaves that best-first growth
     would reach.  ``event_weight`` multiplies the events; ``balanced`` sets it from the counts.
+    ``series`` tells the draws of one fit from another's; None: its place among the fits.
     """
 
     kind: str
@@ -81,6 +83,7 @@ class TreeSpec:
     balanced: bool = False
     mean_start: bool = True
     seed: int = 42
+    series: int | None = None
 
 
 @dataclass
@@ -96,6 +99,10 @@ class Fit:
     start: float = 0.0  # first score of a boosted ensemble
     number: int = 0
 
+    @property
+    def series(self) -> int:
+        return self.number if self.spec.series is None else self.spec.series
+
 
 # --- hashes ---------------------------------------------------------------------------------
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -106,10 +113,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def uniform(key: np.ndarray, *salts: int) -> np.ndarray:
     """Numbers in [0, 1) from 64-bit keys, another series per salt."""
+    return uniform_end(uniform_start(key), *salts)
+
+
+def uniform_start(key: np.ndarray, *salts: int) -> np.ndarray:
+    """The part of ``uniform`` that several series share whose salts begin alike."""
     x = np.asarray(key, np.uint64)
     for salt in salts:
         x = _mixed(x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64)))
-    return (x >> np.uint64(11)) * (1.0 / (1 << 53))
+    return x
+
+
+def uniform_end(x: np.ndarray, *salts: int) -> np.ndarray:
+    """``uniform`` from where ``uniform_start`` left off."""
+    return (uniform_start(x, *salts) >> np.uint64(11)) * (1.0 / (1 << 53))
 
 
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
@@ -123,9 +140,9 @@ class Tree:
         self.feature, self.cut, self.left = [-1], [0], [-1]
         self.value, self.cover, self.gain = [0.0], [0.0], [0.0]
 
-    def leaf_of(self, x: np.ndarray) -> np.ndarray:
-        """Node reached by each row of bins."""
-        at, columns, todo = np.zeros(len(x), np.int64), x.T, [(0, np.arange(len(x)))]
+    def leaf_of(self, x: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """Node reached by each row of bins; by ``rows`` alone where they are given."""
+        at, columns, todo = np.zeros(len(x), np.int64), x.T, [(0, np.arange(len(x)) if rows is None else rows)]
         while todo:
             node, rows = todo.pop()
             if self.feature[node] < 0:
@@ -137,7 +154,7 @@ class Tree:
     def sides(self, node: int, columns: np.ndarray, rows: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """The two nodes below an inner node, each with those of its ``rows`` that go there."""
         right = columns[self.feature[node]].take(rows) > self.cut[node]
-        return [(self.left[node], rows[~right]), (self.left[node] + 1, rows[right])]
+        return [(self.left[node], rows.compress(~right)), (self.left[node] + 1, rows.compress(right))]
 
     def to_dict(self) -> dict:
         return {k: list(getattr(self, k)) for k in ("feature", "cut", "left", "value", "cover", "gain")}
@@ -160,7 +177,7 @@ class Growth:
         k = len(fit.bin_map)
         usable = np.arange(k)
         if self.spec.tree_features < 1:
-            order = np.argsort(uniform(usable, self.spec.seed, fit.number, number, 1))
+            order = np.argsort(uniform(usable, self.spec.seed, fit.series, number, 1))
             usable = np.sort(order[: max(1, round(self.spec.tree_features * k))])
         self.usable = usable
 
@@ -173,7 +190,7 @@ class Growth:
             return np.tile(self.usable, (m, 1))
         n = min(self.spec.node_features, len(self.usable))
         key = np.array(self.open, np.uint64)[:, None] * np.uint64(1 << 16) + self.usable.astype(np.uint64)
-        drawn = uniform(key, self.spec.seed, self.fit.number, self.number, 2)
+        drawn = uniform(key, self.spec.seed, self.fit.series, self.number, 2)
         return np.sort(self.usable[np.argsort(drawn, axis=1)[:, :n]], axis=1)
 
     def split(self, sums: np.ndarray, feats: np.ndarray) -> None:
@@ -246,7 +263,7 @@ class Growth:
         edges = self.fit.edges[feats]
         take = lambda b: np.take_along_axis(edges, b[:, :, None], axis=2)[:, :, 0]
         key = np.array(self.open, np.uint64)[:, None] * np.uint64(1 << 16) + feats.astype(np.uint64)
-        u = uniform(key, self.spec.seed, self.fit.number, self.number, 3)
+        u = uniform(key, self.spec.seed, self.fit.series, self.number, 3)
         at = take(low) + u * (take(high) - take(low))
         cut = (edges <= at[:, :, None]).sum(axis=2) - 1
         return np.clip(np.maximum(cut, low), 0, bins - 1)
@@ -290,6 +307,9 @@ class BlockRows:
         self.key = np.frombuffer(record["key"], np.uint64)[inside]
         self.weight = np.where(self.label == 1, fit.weights[1], fit.weights[0])
         self.fit, self.inside = fit, inside
+        self.bins = fit.bin_map.max(axis=1).astype(np.int64) + 1
+        self._sample = uniform_start(self.key, fit.spec.seed, fit.series)
+        self._joint: tuple = ((), [])
         self.score = None
         if fit.spec.kind == "boost":
             self.score = np.full(len(self.x), fit.start)
@@ -298,24 +318,43 @@ class BlockRows:
         """Rows that tree ``number`` uses, and what it adds up over them.
 
         Three arrays (one, gradient, second derivative) for boosting.  Forests have two: where the
-        sums of the row's class begin, and one with the row's bootstrap count above ``PACK`` bits."""
-        spec, fit = self.fit.spec, self.fit
+        sums of the row's class begin, and one with the row's bootstrap count above ``PACK`` bits;
+        where every row counts once, only the first."""
+        spec = self.fit.spec
         if spec.kind == "boost":
             p = 1.0 / (1.0 + np.exp(-self.score))
             used = np.ones(len(p), bool)
             if spec.row_share < 1:
-                used = uniform(self.key, spec.seed, fit.number, number, 4) < spec.row_share
+                used = uniform_end(self._sample, number, 4) < spec.row_share
             g = np.rint(self.weight * (self.label - p) * UNIT)
             h = np.rint(self.weight * p * (1 - p) * UNIT)
             return used, [np.ones(len(p)), g, h]
-        times = np.ones(len(self.x))
-        if spec.kind == "forest":
-            times = np.searchsorted(_POISSON, uniform(self.key, spec.seed, fit.number, number, 4)).astype(float)
-        return times > 0, [(self.label * MAX_BINS).astype(np.uint8), times * (1 << PACK) + 1]
-
-    def add(self, tree: Tree) -> None:
-        """Move the scores by a finished boosted tree."""
-        self.score = self.score + np.array(tree.value)[tree.leaf_of(self.x)]
+        classes = (self.label * MAX_BINS).astype(np.uint8)
+        if spec.kind == "extra":
+            return np.ones(len(self.x), bool), [classes]
+        u, times = uniform_end(self._sample, number, 4), np.zeros(len(self.x))
+        for step in _POISSON:
+            times += u > step
+        return times > 0, [classes, times * (1 << PACK) + 1]
+
+    def joint(self, feats: np.ndarray) -> list[tuple[list[int], np.ndarray]]:
+        """``_cells`` of all rows, kept for the next tree that looks at the same features."""
+        if self._joint[0] != tuple(feats):
+            self._joint = tuple(feats), list(_cells(self.x.T, feats, self.bins, None, JOINT))
+        return self._joint[1]
+
+    def add(self, tree: Tree, leaves: list[tuple[int, np.ndarray]] = ()) -> None:
+        """Move the scores by a finished boosted tree; ``leaves`` are those whose rows are known."""
+        if not leaves:
+            self.score = self.score + np.array(tree.value)[tree.leaf_of(self.x)]
+            return
+        rest = np.ones(len(self.x), bool)
+        for _, rows in leaves:
+            rest[rows] = False
+        at = tree.leaf_of(self.x, np.flatnonzero(rest))
+        for node, rows in leaves:
+            at[rows] = node
+        self.score = self.score + np.array(tree.value)[at]
 
 
 def _rows_at(at: np.ndarray, nodes: list[int]) -> list[np.ndarray]:
@@ -333,7 +372,7 @@ def _sums(columns: np.ndarray, stand: list[np.ndarray], channels: list[np.ndarra
     if m > 1:
         a = np.repeat(np.arange(m), [len(r) for r in stand])
     same = (feats == feats[0]).all()  # all nodes look at the same features
-    forest = len(channels) == 2
+    forest = len(channels) < 3
     width = 2 * MAX_BINS if forest else MAX_BINS
     out = np.zeros((m, f, MAX_BINS, 3), np.int64)
     for j in range(f):
@@ -342,9 +381,7 @@ def _sums(columns: np.ndarray, stand: list[np.ndarray], channels: list[np.ndarra
             cell = cell + channels[0]  # bins are below 64, so both classes fit into a byte
         cell = cell.astype(np.intp) if a is None else a * width + cell
         if forest:
-            packed = np.bincount(cell, channels[1], m * width).astype(np.int64).reshape(m, 2, MAX_BINS)
-            out[:, j, :, 0] = (packed & ((1 << PACK) - 1)).sum(axis=1)
-            out[:, j, :, 1:] = (packed >> PACK).transpose(0, 2, 1)
+            out[:, j] = _unpacked(_packed(cell, channels, m * width).reshape(m, 2, MAX_BINS))
         else:
             out[:, j, :, 0] = np.bincount(cell, minlength=m * width).reshape(m, -1)
             for i in (1, 2) if j == 0 or not once else (1,):
@@ -352,22 +389,101 @@ def _sums(columns: np.ndarray, stand: list[np.ndarray], channels: list[np.ndarra
     return out
 
 
+def _packed(cell: np.ndarray, channels: list[np.ndarray], cells: int) -> np.ndarray:
+    """Rows per cell, and their bootstrap counts above ``PACK`` bits."""
+    if len(channels) == 1:
+        return np.bincount(cell, minlength=cells) * ((1 << PACK) + 1)
+    return np.bincount(cell, channels[1], cells).astype(np.int64)
+
+
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    """(n, bins, 3) rows and counts of either class from packed numbers (n, classes, bins)."""
+    out = np.empty((len(packed), MAX_BINS, 3), np.int64)
+    out[:, :, 0] = (packed & ((1 << PACK) - 1)).sum(axis=1)
+    out[:, :, 1:] = (packed >> PACK).transpose(0, 2, 1)
+    return out
+
+
+def _groups(bins: list[int], most: int) -> list[list[int]]:
+    """Places of features by groups whose numbers of bins multiply to ``most`` cells at the most."""
+    groups, sizes = [], []
+    for j in sorted(range(len(bins)), key=lambda j: -bins[j]):
+        i = next((i for i, size in enumerate(sizes) if size * bins[j] <= most), len(groups))
+        if i == len(groups):
+            groups.append([])
+            sizes.append(1)
+        groups[i].append(j)
+        sizes[i] *= bins[j]
+    return groups
+
+
+def _cells(columns: np.ndarray, feats: np.ndarray, bins: np.ndarray, rows: np.ndarray | None, most: int):
+    """Groups of places in ``feats`` and each row's cell in the table of all bins of the group."""
+    for group in _groups(bins[feats].tolist(), most):
+        cell = None
+        for j in group:
+            bin_ = columns[feats[j]] if rows is None else columns[feats[j]].take(rows)
+            if cell is None:
+                cell = bin_.astype(np.uint16)
+            else:
+                cell *= np.uint16(bins[feats[j]])
+                cell += bin_
+        yield group, cell
+
+
+def _sums_of_node(
+    columns: np.ndarray, rows: np.ndarray, channels: list[np.ndarray], feats: np.ndarray, bins: np.ndarray, joint: list | None, once: bool
+) -> np.ndarray:
+    """``level_sums`` of one node: features with few bins are counted in one table, whose margins are their sums."""
+    channels, forest = [c.take(rows) for c in channels], len(channels) < 3
+    out = np.zeros((len(feats), 2, MAX_BINS) if forest else (len(feats), MAX_BINS, 3), np.int64)
+    if joint is not None:
+        joint = ((group, cell.take(rows)) for group, cell in joint)
+    classes = (channels[0] >= MAX_BINS).astype(np.uint16) if forest else None
+    for group, cell in joint or _cells(columns, feats, bins, rows, min(JOINT, len(rows))):
+        sizes = bins[feats[group]].tolist()
+        size = math.prod(sizes)
+        if forest:
+            table = _packed((cell + classes * np.uint16(size)).astype(np.intp), channels, 2 * size)
+        else:
+            cell, added = cell.astype(np.intp), channels[1:] if 0 in group or not once else channels[1:2]
+            table = np.stack([np.bincount(cell, minlength=size), *(np.bincount(cell, c, size) for c in added)])
+        table = table.reshape(-1, size)
+        for j, b in zip(group, sizes):
+            table = table.reshape(len(table), b, -1)
+            margin = table.sum(axis=2)
+            if forest:
+                out[j, :, :b] = margin
+            else:
+                kept = len(margin) if j == 0 or not once else 2
+                out[j, :b, :kept] = margin[:kept].T
+            table = table.sum(axis=1)
+    return _unpacked(out) if forest else out
+
+
 def level_sums(
-    x: np.ndarray, at: np.ndarray | list[np.ndarray], channels: list[np.ndarray], nodes: list[int], feats: np.ndarray, once: bool = False
+    x: np.ndarray, at: np.ndarray | list[np.ndarray], channels: list[np.ndarray], nodes: list[int], feats: np.ndarray, once: bool = False,
+    bins: np.ndarray | None = None, joint: list | None = None,
 ) -> np.ndarray:
     """Sums (open nodes, features, bins, channels) over the rows that stand at open nodes.
 
     ``at`` is the node of each row, or the rows of each open node.  The second derivatives are
-    added up by the first feature only where ``once``: gains on residuals do not need them."""
+    added up by the first feature only where ``once``: gains on residuals do not need them.
+    ``bins`` are the numbers of bins of the features, ``joint`` the ``_cells`` of all rows
+    where every node looks at the same features; sums of large nodes are faster with them."""
     stand = at if isinstance(at, list) else _rows_at(at, nodes)
     columns = np.ascontiguousarray(x.T)
     if sum(map(len, stand)) < FEW_ROWS * len(nodes):
         return _sums(columns, stand, channels, feats, once)
-    return np.concatenate([_sums(columns, [rows], channels, feats[i : i + 1], once) for i, rows in enumerate(stand)])
+    bins = np.full(len(columns), MAX_BINS) if bins is None else bins
+    return np.stack([
+        _sums_of_node(columns, rows, channels, feats[i], bins, joint if len(rows) >= JOINT else None, once) for i, rows in enumerate(stand)
+    ])
 
 
 def _sums_of_pairs(
-    x: np.ndarray, at: np.ndarray | list[np.ndarray], channels: list[np.ndarray], nodes: list[int], feats: np.ndarray, parents: np.ndarray, once: bool = False
+    x: np.ndarray, at: np.ndarray | list[np.ndarray], channels: list[np.ndarray], nodes: list[int], feats: np.ndarray, parents: np.ndarray, once: bool = False,
+    bins: np.ndarray | None = None, joint: list | None = None,
 ) -> np.ndarray:
     """``level_sums`` where ``nodes`` are pairs of children and ``parents`` the sums of the nodes
     above them: the smaller child is added up, the other is what its parent has besides."""
@@ -376,28 +492,48 @@ def _sums_of_pairs(
     pair, less = np.arange(len(size)), size.argmin(axis=1)
     smaller = (2 * pair + less).tolist()
     out = np.empty((len(size), 2, *parents.shape[1:]), np.int64)
-    out[pair, less] = level_sums(x, [stand[i] for i in smaller], channels, [nodes[i] for i in smaller], feats[: len(size)], once)
+    out[pair, less] = level_sums(x, [stand[i] for i in smaller], channels, [nodes[i] for i in smaller], feats[: len(size)], once, bins, joint)
     out[pair, 1 - less] = parents - out[pair, less]
     return out.reshape(len(nodes), *parents.shape[1:])
 
 
-def grow_in_block(rows: BlockRows, number: int) -> Tree:
-    """A whole tree from a block that holds all rows."""
+def grow_in_block(rows: BlockRows, number: int, leaves: list[tuple[int, np.ndarray]] | None = None) -> Tree:
+    """A whole tree from a block that holds all rows.
+
+    ``leaves`` receives the rows it was grown from by the leaves that they reach, if it is a boosted
+    tree none of whose splits is taken back."""
     used, channels = rows.channels(number)
     growth, stand = Growth(rows.fit, number), [np.flatnonzero(used)]
-    sums, tree, once = None, growth.tree, not growth.spec.second_order
+    spec, tree, sums = growth.spec, growth.tree, None
+    once, boost, same = not spec.second_order, spec.kind == "boost", spec.node_features is None
+    joint = rows.joint(growth.usable) if same else None
     while growth.open:
-        nodes, feats = growth.open, growth.looked_at()
-        if sums is not None and growth.spec.node_features is None and growth.level < growth.spec.depth:
-            sums = _sums_of_pairs(rows.x, stand, channels, nodes, feats, sums[parents], once)
+        nodes, feats, last = growth.open, growth.looked_at(), growth.level == spec.depth
+        if last and sums is not None:  # only totals are needed
+            totals = [[len(r), *(c.take(r).sum() for c in channels[1:])] for r in stand] if boost else below
+            sums = np.array(totals).astype(np.int64).reshape(len(nodes), 1, 1, 3)
+        elif sums is not None and same:
+            sums = _sums_of_pairs(rows.x, stand, channels, nodes, feats, sums[parents], once, rows.bins, joint)
         else:
-            sums = level_sums(rows.x, stand, channels, nodes, feats, once)
+            sums = level_sums(rows.x, stand, channels, nodes, feats, once, rows.bins, joint)
         growth.split(sums, feats)
         parents = [i for i, node in enumerate(nodes) if tree.feature[node] >= 0]
-        stand = [part for i in parents for _, part in tree.sides(nodes[i], rows.x.T, stand[i])]
+        if leaves is not None and boost and not spec.max_leaves:
+            leaves += [(node, r) for node, r in zip(nodes, stand) if tree.feature[node] < 0]
+        if growth.level == spec.depth and not boost:
+            below = [side for i in parents for side in _sums_below(tree, nodes[i], sums[i], feats[i])]
+        else:
+            stand = [part for i in parents for _, part in tree.sides(nodes[i], rows.x.T, stand[i])]
     return growth.done()
 
 
+def _sums_below(tree: Tree, node: int, sums: np.ndarray, feats: np.ndarray) -> list[np.ndarray]:
+    """Totals of the two nodes below a split one, by its sums (features, bins, 3)."""
+    by_bin = sums[feats.tolist().index(tree.feature[node])]
+    left = by_bin[: tree.cut[node] + 1].sum(axis=0)
+    return [left, by_bin.sum(axis=0) - left]
+
+
 # --- blocks as a table ---------------------------------------------------------------------------
 def bin_edges(rows: DataFrame, columns: list[str]) -> np.ndarray:
     """(features, MAX_BINS - 2): quantiles of each column, the last repeated to fill the row."""
@@ -486,9 +622,10 @@ def _grow_in_tasks(blocks: DataFrame, fits: list[Fit]) -> dict[tuple, list[Tree]
                 number, start, end = jobs[record["job"]]
                 rows, trees = BlockRows(record, fits[number]), []
                 for tree_no in range(start, end):
-                    trees.append(grow_in_block(rows, tree_no))
+                    leaves: list[tuple[int, np.ndarray]] = []
+                    trees.append(grow_in_block(rows, tree_no, leaves))
                     if rows.score is not None:
-                        rows.add(trees[-1])
+                        rows.add(trees[-1], leaves)
                 text = json.dumps([t.to_dict() for t in trees])
                 yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([start]), pa.array([text])], ["fit", "start", "trees"])
 
@@ -522,7 +659,7 @@ def _one_level(blocks: DataFrame, growths: list[Growth], scored: list[list[Tree]
                             rows.add(t)
                     used, channels = rows.channels(number)
                     x = np.compress(used, rows.x.T, axis=1).T
-                    sums = level_sums(x, tree.leaf_of(x), [c[used] for c in channels], nodes, feats, not fit.spec.second_order)
+                    sums = level_sums(x, tree.leaf_of(x), [c[used] for c in channels], nodes, feats, not fit.spec.second_order, rows.bins)
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([sums.tobytes()], pa.binary())], ["at", "sums"])
 
     def total(batches):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -311,17 +312,33 @@ BOOSTERS = {k: c for k, c in models.model_configs(boosters=True).items() if k no
 LOGISTIC = "logistic_regression"
 
 
+TREES = [n for n in CONFIGS if n != LOGISTIC]
+
+
+def _config(name: str) -> models.ModelConfig:
+    """The configuration of a model, whose draws do not depend on the models fitted beside it."""
+    config = (CONFIGS | BOOSTERS)[name]
+    group = next((g for g in (TREES, [*BOOSTERS]) if name in g), None)
+    return replace(config, trees=replace(config.trees, series=group.index(name))) if group else config
+
+
 def _fits(spark, sf, names: list[str]) -> dict[str, models.FittedModel]:
     train, test = _split(spark, sf)
     prep = _once(spark, sf, "prep", lambda: models.fit_preprocessing(train))
-    return models.train_models(train, test, {n: (CONFIGS | BOOSTERS)[n] for n in names}, prep=prep, ids=tuple(IDS))
+    return models.train_models(train, test, {n: _config(n) for n in names}, prep=prep, ids=tuple(IDS))
+
+
+def _models(spark, sf, names: list[str]) -> dict[str, models.FittedModel]:
+    """Fitted models; those not fitted before are fitted side by side, and no others."""
+    kept = _once(spark, sf, "models", dict)
+    missing = [n for n in names if n not in kept]
+    if missing:
+        kept |= _fits(spark, sf, missing)
+    return {n: kept[n] for n in names}
 
 
 def _model(spark, sf, name: str) -> models.FittedModel:
-    """One fitted model; the models of a group are fitted side by side when the first is asked for."""
-    groups = [[LOGISTIC], [n for n in CONFIGS if n != LOGISTIC], [*BOOSTERS]]
-    group = next(g for g in groups if name in g)
-    return _once(spark, sf, f"models:{group}", lambda: _fits(spark, sf, group))[name]
+    return _models(spark, sf, [name])[name]
 
 
 def _compared(spark, sf) -> dict[str, models.FittedModel]:
@@ -329,9 +346,9 @@ def _compared(spark, sf) -> dict[str, models.FittedModel]:
 
     The folds and the final trees are grown side by side, as a boosted ensemble keeps one core."""
     _split(spark, sf)  # written before both read it
-    models.in_parallel({"folds": lambda: _cv_table(spark, sf), "trees": lambda: _model(spark, sf, "gradient_boosting")}, 2)
+    models.in_parallel({"folds": lambda: _cv_table(spark, sf), "trees": lambda: _models(spark, sf, TREES)}, 2)
     summary = {r["model"]: r.asDict() for r in models.cv_summary(_cv_table(spark, sf)).collect()}
-    out = {n: _model(spark, sf, n) for n in CONFIGS}
+    out = _models(spark, sf, [*CONFIGS])
     for name, fitted in out.items():
         fitted.cv_metrics = {k: v for k, v in summary[name].items() if k != "model"}
     return out
@@ -370,6 +387,7 @@ def et_scores(spark, sf):
 @register("booster_scores")
 def booster_scores(spark, sf):
     """Both boosters with weighted classes, one below the other."""
+    _models(spark, sf, [*BOOSTERS])  # side by side
     parts = [_scores(spark, sf, n).withColumn("model", F.lit(n)) for n in BOOSTERS]
     return reduce(DataFrame.unionByName, parts)
 
