@@ -184,3 +184,32 @@ def test_rows_times_features_are_not_broadcast(spark, monkeypatch):
     p = model.transform(rows).select("icustay_id", vector_to_array("probability")[1].alias("p")).collect()
     eta = {r["icustay_id"]: 0.25 + r["icustay_id"] % 3 * 1.5 - r["icustay_id"] % 5 * 0.5 for r in p}
     assert all(abs(r["p"] - 1 / (1 + np.exp(-eta[r["icustay_id"]]))) < 1e-12 for r in p)
+
+
+def test_contributions_by_ranks_are_those_by_values():
+    model, x = ensemble("forest")
+    paths = shapley.leaf_paths(model.nodes())
+    x[0, 0], x[1, 1], x[2, 2] = np.nan, np.inf, -np.inf
+    x[3], x[4] = model.nodes()["threshold"].max(), 0.5  # on cut points
+    want = sum(
+        shapley._plain_contributions(x, paths, np.flatnonzero(paths["width"] == w), w) for w in np.unique(paths["width"]) if w
+    )
+    assert shapley.contributions(x, paths) == pytest.approx(want.T, abs=1e-12)
+    ranks, first, last = shapley._ranks(np.ascontiguousarray(x.T), paths)
+    for leaf, j in np.ndindex(*paths["low"].shape):
+        f = paths["feature"][leaf, j]
+        inside = (x[:, f] > paths["low"][leaf, j]) & (x[:, f] <= paths["high"][leaf, j])
+        assert ((ranks[f] >= first[leaf, j]) & (ranks[f] <= last[leaf, j])).tolist() == inside.tolist()
+
+
+def test_forest_explanations_fit_no_logistic_model(monkeypatch, tmp_path, spark):
+    from wardlens.plans import queries_models as q
+
+    fitted, model = [], ensemble("forest")[0]
+    rows = spark.createDataFrame([(1, Vectors.dense([1.0] * 5))], ["icustay_id", models.VECTOR])
+    kept = type("Kept", (), {"pipeline": type("Stages", (), {"stages": [model]})})
+    monkeypatch.setattr(q, "_fits", lambda spark, sf, names: fitted.extend(names) or {n: kept for n in names})
+    monkeypatch.setattr(q, "_test_rows", lambda spark, sf: rows)
+    monkeypatch.setattr(q.st, "MODEL_COLUMNS", list("abcde"))
+    q._forest_contributions(spark, str(tmp_path))
+    assert fitted == ["random_forest"]
