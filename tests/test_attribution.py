@@ -191,6 +191,7 @@ def test_contributions_by_ranks_are_those_by_values():
     paths = shapley.leaf_paths(model.nodes())
     x[0, 0], x[1, 1], x[2, 2] = np.nan, np.inf, -np.inf
     x[3], x[4] = model.nodes()["threshold"].max(), 0.5  # on cut points
+    paths["low"][0, 0], paths["high"][0, 0] = 9.0, 1.0  # holds nothing
     want = sum(
         shapley._plain_contributions(x, paths, np.flatnonzero(paths["width"] == w), w) for w in np.unique(paths["width"]) if w
     )
