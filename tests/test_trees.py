@@ -344,3 +344,27 @@ def test_a_query_fits_no_other_model(monkeypatch, tmp_path, spark):
     assert list(q._models(spark, str(tmp_path), q.TREES)) == q.TREES
     assert fitted == [["extra_trees"], ["random_forest", "gradient_boosting"]]
     assert [q._config(n).trees.series for n in (*q.TREES, *q.BOOSTERS)] == [0, 1, 2, 0, 1]
+
+
+def test_a_team_grows_the_trees_of_one_block(spark, monkeypatch):
+    """Members that hold some blocks each, in one stage; and the aggregates by level, where no team can hold the rows."""
+    monkeypatch.setattr(trees, "TEAM_ROWS", 40)
+    bins, label, fold, key = data()
+    rows = [tuple(record(*(a[i : i + 60] for a in (bins, label, fold, key))).values()) for i in range(0, 300, 60)]
+    schema = "bins binary, label binary, fold binary, key binary"
+    many = spark.createDataFrame([tuple(map(bytearray, r)) for r in rows], schema)
+    one = spark.createDataFrame([tuple(map(bytearray, record(bins, label, fold, key).values()))], schema)
+    fits = [trees.replace(fit_of(name, fold), number=i) for i, (name, fold) in enumerate((n, f) for n in SPECS for f in (-1, 2))]
+    places, members, most = trees._placed(many)
+    assert members == 5 and most == 60 and sorted(places.values()) == [0, 1, 2, 3, 4]
+    want = trees._grow_in_tasks(one, fits)
+    jobs = []
+    by_level = trees._one_level
+    monkeypatch.setattr(trees, "_one_level", lambda *a: jobs.append(1) or by_level(*a))
+    for held, groups in ((trees.TEAM_BYTES, 1), (64 * 60 * 4, 4), (0, 0)):
+        monkeypatch.setattr(trees, "TEAM_BYTES", held)
+        if groups:
+            assert len(trees._team_fits(fits, most)) >= groups
+        found = trees.grow(many, len(rows), fits)
+        assert {k: [t.to_dict() for t in v] for k, v in found.items()} == {k: [t.to_dict() for t in v] for k, v in want.items()}
+        assert bool(jobs) == (not held)
