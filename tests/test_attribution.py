@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from wardlens import fixed_values as fv
 from wardlens.functions import tails
 from wardlens.ml import attribution, models, newton, shapley, trees
 from wardlens.operators import metrics, ordered, sketches, summaries
@@ -214,3 +215,78 @@ def test_forest_explanations_fit_no_logistic_model(monkeypatch, tmp_path, spark)
     monkeypatch.setattr(q.st, "MODEL_COLUMNS", list("abcde"))
     q._forest_contributions(spark, str(tmp_path))
     assert fitted == ["random_forest"]
+
+
+def linear_and_forest():
+    linear = newton.LinearProbabilityModel()
+    linear._set(featuresCol=models.VECTOR, slopes=[0.4, -0.2, 0.0, 0.9, 0.1], offset=-3.0)
+    return {"linear": linear, "forest": ensemble("forest")[0]}
+
+
+@pytest.mark.parametrize("kind", ["linear", "forest"])
+@pytest.mark.parametrize("draws", [1, 4])
+def test_sampled_contributions_in_arrays_are_those_of_scored_tables(spark, kind, draws):
+    """Also of rows whose ids repeat or are null; a scored table is what a classifier without ``scorer`` gets."""
+    classifier, x = linear_and_forest()[kind], ensemble("forest")[1]
+    ids = [None if i % 7 == 3 else i // 2 for i in range(len(x))]
+    rows = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in zip(ids, x)], ["icustay_id", models.VECTOR])
+    background = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x)], rows.columns)
+    plain = type("Plain", (), {"transform": staticmethod(classifier.transform)})()
+    assert not hasattr(plain, "scorer")
+    found, want = (attribution.sampled_shapley(c, rows, list("abcde"), ["icustay_id"], draws, background) for c in (classifier, plain))
+    assert "MapInArrow" in found._jdf.queryExecution().toString() and found.schema == want.schema
+    got, told = ({(r.icustay_id, r.feature): (r.contribution, r.std_error) for r in f.collect()} for f in (found, want))
+    assert set(got) == set(told) and len(got) == 5 * len(set(ids))
+    for key, (value, error) in told.items():
+        assert got[key][0] == pytest.approx(value, abs=1e-12)
+        assert got[key][1] is None if draws == 1 else got[key][1] == pytest.approx(error, abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["linear", "forest"])
+def test_importance_in_tasks_is_that_of_joins(spark, monkeypatch, kind):
+    classifier, x = linear_and_forest()[kind], np.tile(ensemble("forest")[1], (4, 1))
+    labels = [None if i % 11 == 5 else int(r[0] + i % 5 > 8) for i, r in enumerate(x)]
+    schema = ["icustay_id", fv.LABEL, models.VECTOR]
+    rows = spark.createDataFrame([(i, y, Vectors.dense(r)) for i, (y, r) in enumerate(zip(labels, x))], schema)
+    args = (rows, list("abcde"), ["icustay_id"], 3)
+    joins, called = attribution._auc_by_joins, []
+    monkeypatch.setattr(attribution, "_auc_by_joins", lambda *a: called.append(1) or joins(*a))
+    monkeypatch.setattr(attribution, "PACKED_ROWS", 30)
+    got = {r.feature: r[1:] for r in attribution.permutation_importance(classifier, *args).collect()}
+    assert not called
+    monkeypatch.setattr(attribution, "TABLE_BYTES", 0)
+    want = {r.feature: r[1:] for r in attribution.permutation_importance(classifier, *args).collect()}
+    assert called and set(got) == set("abcde")
+    for f in want:
+        assert tuple(got[f]) == pytest.approx(tuple(want[f]), abs=1e-12)
+
+
+def test_permutation_is_the_one_of_single_numbers(spark):
+    for n in (1, 7, 40_000):
+        key = spark.range(1).select(F.xxhash64(F.lit(42), F.lit(3), F.lit(-1)).alias("k")).first().k
+        h = np.array([42], np.uint64)
+        for v in (42, 3, -1):
+            h = attribution._hashed(v, h)
+        assert h.view(np.int64)[0] == key
+        want = spark.range(n).select(attribution.permuted(F.col("id"), F.lit(n).cast("bigint"), F.lit(key)).alias("p")).collect()
+        assert sorted(r.p for r in want) == list(range(n))
+        assert attribution.permutation(n, h[0]).tolist() == [r.p for r in want]
+
+
+def test_area_of_no_rows_or_one_class_is_unknown():
+    assert attribution.auc(np.array([]), np.array([])) is None
+    assert attribution.auc(np.array([0.1, 0.2]), np.array([1, 1])) is None
+    assert attribution.auc(np.array([0.3, 0.3, 0.1]), np.array([1, 0, 0])) == 0.75
+
+
+def test_scores_of_arrays_are_those_of_tables_to_the_last_bit(spark):
+    rng = np.random.default_rng(3)
+    near = np.concatenate([np.nextafter(v, [-9, 9]) for v in (np.log(2) / 2, -np.log(2) / 2, 1.5 * np.log(2), 2.0**-28)])
+    x = np.concatenate([rng.normal(0, 1, 4000), rng.normal(0, 40, 2000), rng.normal(0, 1e-8, 500), near, [0.0, -0.0, 709.7, 710, -745, -746, np.inf, -np.inf, np.nan]])
+    told = np.array([r[0] for r in spark.createDataFrame([(float(v),) for v in x], "v double").coalesce(1).select(F.exp("v")).collect()])
+    assert newton.strict_exp(x).tobytes() == told.tobytes()
+    model = linear_and_forest()["linear"]
+    rows = rng.normal(0, 3, (3000, 5))
+    table = spark.createDataFrame([(Vectors.dense(r),) for r in rows], [models.VECTOR]).coalesce(1)
+    told = np.array([r[models.PROBABILITY] for r in models.event_probability(model, table).collect()])
+    assert (model.scorer()(list(rows.T)) == told).all()
