@@ -25,10 +25,15 @@ def coefficient_rows(fit: LogitFit, features: list[str]) -> list[tuple]:
     for name, b, se in [*zip(features, fit.beta[1:], errors[1:]), ("Intercept", fit.beta[0], errors[0])]:
         z = b / se if se > 0 else 0.0
         out.append((name, float(b), float(se), float(z), normal_two_sided(z),
-                    math.exp(b), math.exp(b - Z95 * se), math.exp(b + Z95 * se)))
+                    _odds(b), _odds(b - Z95 * se), _odds(b + Z95 * se)))
     return out
 
 
+def _odds(eta: float) -> float:
+    """exp(eta), infinite where no number is large enough, as for a coefficient that the rows do not determine."""
+    return math.exp(eta) if eta < 709.7 else math.inf
+
+
 COEFFICIENTS = (
     "variable string, estimate double, std_error double, z double, p double, "
     "odds_ratio double, lower_cl double, upper_cl double"
