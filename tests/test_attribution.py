@@ -252,6 +252,7 @@ def test_importance_in_tasks_is_that_of_joins(spark, monkeypatch, kind):
     joins, called = attribution._auc_by_joins, []
     monkeypatch.setattr(attribution, "_auc_by_joins", lambda *a: called.append(1) or joins(*a))
     monkeypatch.setattr(attribution, "PACKED_ROWS", 30)
+    monkeypatch.setattr(attribution, "JOINED_ROWS", 0)
     got = {r.feature: r[1:] for r in attribution.permutation_importance(classifier, *args).collect()}
     assert not called
     monkeypatch.setattr(attribution, "TABLE_BYTES", 0)
